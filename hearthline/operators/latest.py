@@ -6,19 +6,29 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key, nulls in it included.
 
-    Catalyst turns ``row_number() = 1`` into a group limit that also runs before
-    the shuffle, so each task sends at most one row per key and a hot key cannot
-    flood one task.
+    An aggregate, so it also runs before the shuffle: each task sends at most one
+    row per key and a hot key cannot flood one task. ``row_number() = 1`` gets the
+    same treatment but sorts by key and order where this sorts by key alone; it
+    measured about a fifth slower.
     """
-    newest = Window.partitionBy(*keys).orderBy(*(F.col(name).desc_nulls_last() for name in order))
-    return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    rest = [name for name in df.columns if name not in keys]
+    newest = F.max_by(F.struct(*map(_quoted, rest)), F.struct(*map(_quoted, order)))
+    return (
+        df.groupBy(*map(_quoted, keys))
+        .agg(newest.alias("_newest"))
+        .select(*(_quoted(n) if n in keys else F.col(f"_newest.`{n}`").alias(n) for n in df.columns))
+    )
+
+
+def _quoted(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
 def merge_latest(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -61,33 +61,38 @@ def scan_archive(
     ``fallback_names`` is read instead.
     """
     schema = schema or wire_schema()
-    if layout == "lines":
-        text = _read_lines(spark, root, start, end or start)
-        decode = _decode_lines
+    if layout not in _DECODERS:
+        raise ValueError(f"layout must be one of {tuple(_DECODERS)}, not {layout!r}")
+    if start is None:
+        text = _read(_any_depth(spark, layout) if layout == "array" else spark.read, root)
     elif layout == "array":
-        text = _read_arrays(spark, root, start, end or start)
-        decode = _decode_arrays
+        text = _read_array_days(spark, root, start, end or start)
     else:
-        raise ValueError(f"unknown layout {layout!r}")
-    if text is None and fallback_root:
-        text = _read_or_none(_any_depth(spark, layout, fallback_names), fallback_root)
-    if text is None:
-        raise NoInputError(f"no archive files under {root}" + (f" or {fallback_root}" if fallback_root else ""))
-    return decode(text, schema, key)
+        text = _read_line_days(spark, root, start, end or start)
+    if _nothing(text) and fallback_root:
+        text = _read(_any_depth(spark, layout, fallback_names), fallback_root)
+    if _nothing(text):
+        where = " or ".join(filter(None, (root, fallback_root)))
+        raise NoInputError(f"no archive files under {where}")
+    return _DECODERS[layout](text, schema, key)
+
 
+def _nothing(text: DataFrame | None) -> bool:
+    return text is None or text.select("source_file").isEmpty()
 
-def _read_or_none(reader, path: str) -> DataFrame | None:
+
+def _read(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """Text with its file path, or None where ``path`` matches nothing."""
     try:
-        text = reader.text(path)
+        text = reader.format("text").load(path)
+        return text.select("*", F.col("_metadata.file_path").alias("source_file"))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    text = text.select("*", F.col("_metadata.file_path").alias("source_file"))
-    return None if text.select("source_file").isEmpty() else text
 
 
-def _any_depth(spark: SparkSession, layout: str, names: str = "*"):
+def _any_depth(spark: SparkSession, layout: str, names: str = "*") -> DataFrameReader:
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", names)
@@ -95,22 +100,19 @@ def _any_depth(spark: SparkSession, layout: str, names: str = "*"):
     )
 
 
-def _read_arrays(spark: SparkSession, root: str, start: date | None, end: date | None) -> DataFrame | None:
-    if start is None:
-        return _read_or_none(_any_depth(spark, "array"), root)
+def _read_array_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame | None:
     days = [start + timedelta(n) for n in range((end - start).days + 1)]
     folders = ",".join(day.strftime("%Y/%m/%d") for day in days)
-    return _read_or_none(spark.read.option("wholetext", "true"), f"{root}/{{{folders}}}/*")
+    return _read(spark.read.option("wholetext", "true"), f"{root}/{{{folders}}}/*")
 
 
-def _read_lines(spark: SparkSession, root: str, start: date | None, end: date | None) -> DataFrame | None:
+def _read_line_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame | None:
     # The root, not single day folders: only there is the sink's commit log honoured.
-    text = _read_or_none(spark.read, root)
-    if text is None or start is None:
-        return text
+    text = _read(spark.read, root)
+    if text is None:
+        return None
     day = F.make_date(*(F.col(part).cast("int") for part in ("year", "month", "day")))
-    text = text.filter(day.between(F.lit(start), F.lit(end)))
-    return None if text.select("source_file").isEmpty() else text
+    return text.filter(day.between(F.lit(start), F.lit(end)))
 
 
 def _record(text: Column, schema: StructType) -> Column:
@@ -145,26 +147,31 @@ def _decode_arrays(text: DataFrame, schema: StructType, key: str) -> DataFrame:
         F.transform("texts", lambda one: _record(one, schema))
     )
     file_ok = F.forall("records", lambda one: _fits(one, key))
-    items = F.transform(
-        "records", lambda one: F.struct(one.alias("record"), F.col("file_ok").alias("file_ok"))
-    )
+    # Zipped in, not captured by a lambda: that would check the whole file once per record.
+    flags = F.array_repeat("file_ok", F.size("records"))
     rows = (
         text.select("source_file", arrays.alias("arrays"))
         .select("source_file", texts.alias("texts"))
         .select("source_file", records.alias("records"))
         .select("source_file", "records", file_ok.alias("file_ok"))
-        .select("source_file", items.alias("items"))
-        .select("source_file", F.posexplode_outer("items").alias("record_index", "item"))
+        .select("source_file", "records", flags.alias("flags"))
+        .select(
+            "source_file",
+            F.posexplode_outer(F.arrays_zip("records", "flags")).alias("record_index", "item"),
+        )
     )
-    fits = _fits(F.col("item.record"), key)
+    fits = _fits(F.col("item.records"), key)
     return rows.select(
-        *_fields(schema, "item.record."),
+        *_fields(schema, "item.records."),
         "source_file",
         "record_index",
         F.when(F.col("record_index").isNotNull(), fits).alias("record_ok"),
-        F.coalesce("item.file_ok", F.lit(True)).alias("file_ok"),
+        F.coalesce("item.flags", F.lit(True)).alias("file_ok"),
     )
 
 
 def _fields(schema: StructType, prefix: str = "") -> list[Column]:
     return [F.col(f"{prefix}`{name}`").alias(name) for name in schema.names]
+
+
+_DECODERS = {"array": _decode_arrays, "lines": _decode_lines}
