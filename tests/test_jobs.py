@@ -1,0 +1,66 @@
+"""The command line from messages to reports, in one session."""
+
+import json
+
+import pytest
+
+from hearthline.__main__ import main
+from hearthline.plans.load import load_store, stage_archive
+from tests.conftest import listing, put_array
+
+
+@pytest.fixture
+def messages(tmp_path):
+    folder = tmp_path / "messages"
+    folder.mkdir()
+    for part in range(2):
+        records = [
+            listing(
+                n,
+                1763174687104 + part * 1000,
+                city=f"city {n % 3}",
+                homeType="CONDO",
+                price=1000 * (n + 1) + part,
+                livingArea=n,
+            )
+            for n in range(120)
+        ]
+        (folder / f"{part}.txt").write_text("\n".join(map(json.dumps, records)))
+    return folder
+
+
+def test_archive_load_check_predict(spark, tmp_path, messages, capfd):
+    archive, table = str(tmp_path / "archive"), ["--namespace", "jobs", "--table", "current"]
+    assert main(["check", *table]) == 1
+    assert main(["predict", *table]) == 1
+    assert main(["load", "--root", archive, *table]) == 1
+    stream = ["--path", str(messages), "--once"]
+    assert main(["archive", *stream, "--checkpoint", str(tmp_path / "c1"), "--output", archive]) == 0
+    assert main(["load", "--root", archive, *table]) == 0
+    current = spark.table("jobs.current")
+    assert current.count() == 120
+    assert current.filter("price % 1000 = 1").count() == 120, "the newer event of each key"
+    capfd.readouterr()
+    assert main(["check", *table]) == 0
+    assert "120 rows: MINIMAL DATA" in capfd.readouterr().out
+    assert main(["predict", *table, "--output", str(tmp_path / "predictions")]) == 0
+    out = capfd.readouterr().out
+    assert "predicted_price" in out and "city 2" in out and "CONDO" in out and "r2" in out
+    assert spark.read.parquet(str(tmp_path / "predictions")).count() == 120
+
+
+def test_stream_to_files(spark, tmp_path, messages):
+    args = ["--path", str(messages), "--once", "--checkpoint", str(tmp_path / "c")]
+    out = ["--format", "json", "--output", str(tmp_path / "out"), "--output-mode", "append"]
+    assert main(["stream", *args, *out]) == 0
+
+
+def test_load_array_files_into_a_store(spark, tmp_path):
+    put_array(tmp_path / "in", "a.json", [listing(1, 5, price=1), listing(1, 9, price=2)])
+    put_array(tmp_path / "in", "b.json", [listing(1, 7, price=3), listing(2, 1, price=4)])
+    put_array(tmp_path / "in", "c.json", [listing(3, 1, price="n/a")])
+    staged = stage_archive(spark, str(tmp_path / "in"))
+    load_store(staged, "parquet", {"path": str(tmp_path / "store")})
+    got = spark.read.parquet(str(tmp_path / "store"))
+    assert sorted((r.zpid, r.price) for r in got.collect()) == [("1", 2), ("2", 4)]
+    assert len(got.columns) == 12
