@@ -18,8 +18,8 @@ from hearthline.operators.keyed_table import KeyedTable, table_exists
 from hearthline.operators.quarantine import load_summary
 from hearthline.operators.readiness import table_readiness
 from hearthline.operators.reports import table_sample
-from hearthline.plans.load import load_table, stage_archive
-from hearthline.plans.train import predict_prices
+from hearthline.plans.load import curated_sample, load_table, stage_archive
+from hearthline.plans.train import SPLITS, predict_prices
 from hearthline.session import build_session
 from hearthline.sources.archive import NoInputError
 from hearthline.sources.events import event_stream, kafka_options
@@ -63,7 +63,9 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> int:
     except NoInputError as error:
         print(error, file=sys.stderr)
         return 1
-    load_table(staged, KeyedTable(spark, args.namespace, args.table), args.policy, args.layout)
+    curated_sample(staged).show(truncate=False)
+    table = KeyedTable(spark, args.namespace, args.table, buckets=args.buckets)
+    load_table(staged, table, args.policy, args.layout)
     load_summary(staged).show()
     return 0
 
@@ -81,7 +83,7 @@ def run_predict(spark: SparkSession, args: argparse.Namespace) -> int:
     if not table_exists(spark, args.namespace, args.table):
         print(f"table {args.namespace}.{args.table} does not exist", file=sys.stderr)
         return 1
-    reports = predict_prices(spark.table(f"{args.namespace}.{args.table}"), args.output)
+    reports = predict_prices(spark.table(f"{args.namespace}.{args.table}"), args.output, args.split)
     reports.sample.show(truncate=False)
     prices = ("avg_actual", "avg_predicted", "min_predicted", "max_predicted")
     reports.overall.select(
@@ -132,9 +134,12 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--all", action="store_true", help="the whole tree, all dates")
     load.add_argument("--layout", default="lines", choices=("array", "lines"))
     load.add_argument("--fallback", help="root to search when the dates hold nothing")
+    load.add_argument("--buckets", type=int, help="buckets of the table, default one per shuffle partition")
     load.add_argument("--policy", default="file", choices=("file", "record"))
     table_command("check", run_check)
-    table_command("predict", run_predict).add_argument("--output")
+    train = table_command("predict", run_predict)
+    train.add_argument("--output", help="folder for the predictions")
+    train.add_argument("--split", default="key", choices=tuple(SPLITS))
     return parser
 
 

@@ -12,13 +12,15 @@ def hash_bucket(key: Column, buckets: int = 10) -> Column:
     return F.conv(prefix, 16, 10).cast("int") % buckets
 
 
-def split_by_key(df: DataFrame, key: str, train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Repeatable split that depends on the key only, not on partitioning or file order.
+def in_train(key: Column, tenths: int = 8) -> Column:
+    """Whether a key belongs to the training part. A null key has no bucket and does not."""
+    return F.coalesce(hash_bucket(key) < tenths, F.lit(False))
 
-    Rows with a null key have no bucket and go to the hold-out part.
-    """
-    in_train = F.coalesce(hash_bucket(F.col(key)) < train_tenths, F.lit(False))
-    return df.filter(in_train), df.filter(~in_train)
+
+def split_by_key(df: DataFrame, key: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Repeatable split that depends on the key only, not on partitioning or file order."""
+    chosen = in_train(F.col(key), tenths)
+    return df.filter(chosen), df.filter(~chosen)
 
 
 def split_at_random(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -103,7 +103,7 @@ def _wire_columns(event_ts: Column | None = None) -> list[Column]:
     ]
 
 
-def _messages(events: DataFrame, event_ts: Column | None = None) -> DataFrame:
+def event_messages(events: DataFrame, event_ts: Column | None = None) -> DataFrame:
     """Events as binary JSON messages, the form a topic delivers."""
     return events.select(encode_payload(*_wire_columns(event_ts)).cast("binary").alias("value"))
 
@@ -130,7 +130,7 @@ _WIRE_SQL = """
         {_WIRE_SQL.replace("round(value * 100)::BIGINT", "round(value * 100)::DOUBLE")} FROM events""",
 )
 def _json_parse_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_events(_messages(_table(spark, sf_dir, "events")))
+    parsed = parse_events(event_messages(_table(spark, sf_dir, "events")))
     listings = curate(parsed, keep=("timestamp", "zestimate"))
     return listings.withColumn("event_ts", _ntz("timestamp", "event_ts")).drop("timestamp")
 
@@ -167,7 +167,7 @@ def _curate_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("json_array_scan", f"SELECT {_WIRE_SQL} FROM events")
 def _json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "arrays")
-    write_array_files(_messages(_table(spark, sf_dir, "events")), path, size=10_000)
+    write_array_files(event_messages(_table(spark, sf_dir, "events")), path, size=10_000)
     return curate(good_records(scan_archive(spark, path)))
 
 
@@ -203,22 +203,28 @@ def _archive_scan_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("archive_roundtrip", f"SELECT {_WIRE_SQL} FROM events")
 def _archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
-    messages = _messages(_table_stream(spark, sf_dir, "events"))
+    messages = event_messages(_table_stream(spark, sf_dir, "events"))
     drain(archive_stream(messages, path, scratch_path(spark, "checkpoint"), ONCE))
     return curate(good_records(scan_archive(spark, path, layout="lines"), "record", "lines"))
 
 
+# Array files of the flawed archive: about fifty of them, until each holds 10,000 records.
+_FILE_SIZE_SQL = "least(10000, greatest(100, count(*) // 50))"
+
+
 def _flawed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan of array files of 100 consecutive events; every 700th event's price is no number."""
+    """Scan of array files of consecutive events; in every seventh the first price is no number."""
     path = scratch_path(spark, "flawed")
+    events = _table(spark, sf_dir, "events")
+    size = min(10_000, max(100, events.count() // 50))
     id_and_city = (F.col("event_id").alias("zpid"), F.col("event_type").alias("city"))
     price = F.round(F.col("value") * 100).cast("long")
     message = F.when(
-        F.col("event_id") % 700 == 0, encode_payload(*id_and_city, F.lit("n/a").alias("price"))
+        F.col("event_id") % (7 * size) == 0,
+        encode_payload(*id_and_city, F.lit("n/a").alias("price")),
     ).otherwise(encode_payload(*id_and_city, price.alias("price")))
     (
-        _table(spark, sf_dir, "events")
-        .groupBy(F.floor(F.col("event_id") / 100))
+        events.groupBy(F.floor(F.col("event_id") / size))
         .agg(json_array(F.collect_list(message)).alias("value"))
         .select("value")
         .write.option("maxRecordsPerFile", 1)
@@ -227,17 +233,17 @@ def _flawed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_archive(spark, path, schema=wire_schema(("zpid", "city", "price")))
 
 
-_FLAWED_SQL = """WITH marked AS (
-    SELECT event_id, event_type, value, event_id % 700 = 0 AS bad,
-           bool_or(event_id % 700 = 0) OVER (PARTITION BY event_id // 100) AS bad_file
-    FROM events)"""
+_FLAWED_SQL = f"""WITH sized AS (SELECT {_FILE_SIZE_SQL} AS size FROM events), marked AS (
+    SELECT event_id, event_type, value, event_id // size AS file, event_id % (7 * size) = 0 AS bad,
+           bool_or(event_id % (7 * size) = 0) OVER (PARTITION BY event_id // size) AS bad_file
+    FROM events, sized)"""
 
 
 @_register(
     "load_summary",
-    """SELECT count(*) AS found, (count(*) - count_if(bad))::BIGINT AS processed,
-       count_if(bad)::BIGINT AS failed
-       FROM (SELECT bool_or(event_id % 700 = 0) AS bad FROM events GROUP BY event_id // 100)""",
+    f"""{_FLAWED_SQL} SELECT count(*) AS found, count_if(NOT bad)::BIGINT AS processed,
+        count_if(bad)::BIGINT AS failed
+        FROM (SELECT bool_or(bad) AS bad FROM marked GROUP BY file)""",
 )
 def _load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_summary(_flawed_archive(spark, sf_dir))
@@ -325,7 +331,7 @@ def _flat_totals(totals: DataFrame) -> DataFrame:
 
 @_register("window_agg", _totals_sql("TRUE"))
 def window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_totals(city_totals(_messages(_table(spark, sf_dir, "events"))))
+    return _flat_totals(city_totals(event_messages(_table(spark, sf_dir, "events"))))
 
 
 @_register("window_null_time", _totals_sql("event_id % 3 <> 0 AND event_id % 10 <> 0"))
@@ -348,7 +354,7 @@ def _stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
         written.append(f"{out}/batch={batch_id}")
         batch.write.mode("overwrite").parquet(written[-1])
 
-    totals = flatten_window(city_totals(_messages(_table_stream(spark, sf_dir, "events"))))
+    totals = flatten_window(city_totals(event_messages(_table_stream(spark, sf_dir, "events"))))
     drain(for_each_batch(totals, write, scratch_path(spark, "checkpoint"), "complete", ONCE))
     return _flat_parquet(spark, written[-1])
 
@@ -363,7 +369,7 @@ def _stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows the watermark has closed; the others stay in the state."""
     out = scratch_path(spark, "append")
-    totals = flatten_window(city_totals(_messages(_table_stream(spark, sf_dir, "events"))))
+    totals = flatten_window(city_totals(event_messages(_table_stream(spark, sf_dir, "events"))))
     drain(
         start_query(
             totals, scratch_path(spark, "checkpoint"), "parquet", "append", ONCE, {"path": out}

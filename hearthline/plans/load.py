@@ -40,6 +40,11 @@ def load_table(staged: DataFrame, table: KeyedTable, policy: str = "file", layou
     table.ensure().upsert(good_records(staged, policy, layout), LATEST)
 
 
+def curated_sample(staged: DataFrame, limit: int = 10) -> DataFrame:
+    """A look at the curated columns of a few good records."""
+    return staged.filter("record_ok").select(*curated_schema().names).limit(limit)
+
+
 def load_store(
     staged: DataFrame,
     fmt: str,

@@ -6,8 +6,9 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from hearthline.functions.split import split_by_key
+from hearthline.functions.split import in_train
 from hearthline.operators.clean import clean_listings
 from hearthline.operators.model import fit_model, predict, regression_metrics
 from hearthline.operators.reports import (
@@ -31,20 +32,27 @@ class PriceReports(NamedTuple):
     holdout: DataFrame
 
 
-def predict_prices(listings: DataFrame, output: str | None = None) -> PriceReports:
-    """Clean, fit on the training keys, predict every row, report.
+# How a row gets into the training part: by its key, or at random.
+SPLITS = {"key": lambda: in_train(F.col(KEY)), "random": lambda: F.rand(42) < 0.8}
 
-    The cleaned rows are written once: training passes over them several times,
-    and a concurrent upsert may drop the snapshot they came from. Predictions are
-    written too (to ``output`` if given), so the forest runs once per row and each
-    report reads two or three columns.
+
+def predict_prices(
+    listings: DataFrame, output: str | None = None, split: str = "key"
+) -> PriceReports:
+    """Clean, fit on the training part, predict every row, report.
+
+    The cleaned rows are written once: training passes over them several times, a
+    concurrent upsert may drop the snapshot they came from, and a random split must
+    not be drawn anew by a task that runs twice. Predictions are written too (to
+    ``output`` if given), so the forest runs once per row and each report reads two
+    or three columns.
     """
-    cleaned = materialize(clean_listings(listings), "cleaned")
-    train, _ = split_by_key(cleaned, KEY)
-    model = fit_model(train)
-    scored = predict(model, cleaned).select(*SAMPLE_COLUMNS, "price", "prediction")
+    cleaned = clean_listings(listings).withColumn("in_train", SPLITS[split]())
+    cleaned = materialize(cleaned, "cleaned")
+    model = fit_model(cleaned.filter("in_train"))
+    scored = predict(model, cleaned)
+    scored = scored.select(*SAMPLE_COLUMNS, "price", "prediction", "in_train")
     predictions = materialize(scored, "predictions", output)
-    _, held_out = split_by_key(predictions, KEY)
     return PriceReports(
         model=model,
         predictions=predictions,
@@ -52,5 +60,5 @@ def predict_prices(listings: DataFrame, output: str | None = None) -> PriceRepor
         overall=overall_statistics(predictions),
         by_city=report_by_city(predictions),
         by_home_type=report_by_home_type(predictions),
-        holdout=regression_metrics(held_out),
+        holdout=regression_metrics(predictions.filter(~F.col("in_train"))),
     )

@@ -102,6 +102,17 @@ def test_merge_into_a_bucketed_table_moves_only_the_new_rows(spark, table):
     assert "Bucketed: true" in text
 
 
+def test_one_file_per_bucket_whatever_the_shuffle(spark):
+    schema = spark.createDataFrame([], ROW).schema
+    table = KeyedTable(spark, f"ns_{uuid.uuid4().hex}", "current", ["k"], schema, buckets=16)
+    table.ensure()
+    for first in (0, 500):
+        rows = spark.range(first, first + 1000).selectExpr("CAST(id AS STRING) k", "id t", "'x' v")
+        table.upsert(rows, ["t"])
+        assert len(table.read().inputFiles()) == 16
+    assert table.read().count() == 1500
+
+
 def test_existence_checks(spark):
     assert not namespace_exists(spark, "nowhere")
     assert not table_exists(spark, "nowhere", "t")

@@ -86,8 +86,9 @@ def test_same_input_same_predictions(listings):
     assert runs[0] == runs[1] and len(runs[0]) == 600
 
 
-def test_reports_cover_every_priced_row(spark, listings, tmp_path):
-    reports = predict_prices(listings, str(tmp_path / "predictions"))
+@pytest.mark.parametrize("split", ["key", "random"])
+def test_reports_cover_every_priced_row(spark, listings, tmp_path, split):
+    reports = predict_prices(listings, str(tmp_path / "predictions"), split)
     overall = reports.overall.first()
     assert overall["total"] == reports.predictions.count() == 594
     assert overall["min_predicted"] <= overall["avg_predicted"] <= overall["max_predicted"]
