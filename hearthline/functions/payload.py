@@ -16,12 +16,12 @@ def decode_payload(df: DataFrame, schema: StructType, value: str = "value") -> D
     """One row per message with the schema's fields as top-level columns.
 
     A message that is not JSON gives a row of nulls, a field of the wrong type a
-    null in that field, an unknown key nothing. ``inline`` rather than a struct
+    null in that field, an unknown key nothing. ``explode`` rather than a plain
     projection: filters on parsed fields (the null-time filter of a time window)
     would otherwise move below it and parse every message twice.
     """
     record = F.from_json(F.col(value).cast("string"), schema)
-    return df.select(F.inline(F.array(record)))
+    return df.select(F.explode(F.array(record)).alias("data")).select("data.*")
 
 
 def parse_events(
@@ -50,7 +50,8 @@ def encode_batches(df: DataFrame, size: int, value: str = "value") -> DataFrame:
     """Pack JSON objects into JSON arrays of at most ``size`` objects.
 
     Batches follow the running row id of each partition, so no group can hold
-    more than ``size`` rows whatever the data looks like.
+    more than ``size`` rows whatever the data looks like. Row ids repeat only if
+    row order does: give it a scan, not the output of a shuffle.
     """
     batch = F.floor(F.monotonically_increasing_id() / size).alias("batch")
     return (

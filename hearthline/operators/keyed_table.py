@@ -17,7 +17,6 @@ from pyspark.sql.types import StructType
 
 from hearthline.operators.latest import latest_per_key, merge_latest
 from hearthline.schemas import KEY, curated_schema
-from hearthline.scratch import materialize
 
 KEPT_SNAPSHOTS = 2
 
@@ -70,7 +69,13 @@ class KeyedTable:
         One writer at a time. Every upsert rewrites the table: merge in large batches.
         """
         new = latest_per_key(batch, self.keys, order).select(*self.schema.names)
-        self._publish(merge_latest(self.read(), materialize(new, f"{self.name}-batch"), self.keys))
+        staged = f"`{self.namespace}`.`{self.name}__batch_{uuid.uuid4().hex}`"
+        try:
+            # Written first: a micro-batch is then read once, and the join knows its size.
+            new.write.format("parquet").saveAsTable(staged)
+            self._publish(merge_latest(self.read(), self.spark.table(staged), self.keys))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
     def _snapshots(self) -> list[tuple[int, str]]:
         tables = self.spark.sql(f"SHOW TABLES IN `{self.namespace}` LIKE '{self.name}__*'")

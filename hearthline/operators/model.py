@@ -28,8 +28,6 @@ def price_pipeline(
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        # More node statistics per pass over the data means fewer passes.
-        maxMemoryInMB=1024,
     )
     return Pipeline(stages=[*feature_stages(categories, numerics), forest])
 

@@ -275,8 +275,8 @@ def _quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register(
     "clean_filter",
-    """SELECT c_custkey, c_acctbal FROM customer
-       WHERE c_acctbal > 0 AND c_custkey % 7 <> 0""",
+    """SELECT * FROM (SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal
+       FROM customer) WHERE c_acctbal IS NOT NULL AND c_acctbal > 0""",
 )
 def _clean_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance = F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("c_acctbal")
@@ -308,7 +308,7 @@ def _clean_fillna(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- time windows ---------------------------------------------------------------------------
 
 
-def _totals_sql(where: str) -> str:
+def _totals_sql(where: str = "TRUE", source: str = "events") -> str:
     return f"""SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start,
         time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS window_end,
         event_type AS city,
@@ -316,7 +316,7 @@ def _totals_sql(where: str) -> str:
         sum(user_id)::BIGINT AS total_living_area,
         round(avg(user_id * 3), 6) AS average_zestimate,
         sum((props->>'k')::INTEGER)::BIGINT AS total_bedrooms
-        FROM events WHERE {where} GROUP BY ALL"""
+        FROM {source} WHERE {where} GROUP BY ALL"""
 
 
 def _flat_totals(totals: DataFrame) -> DataFrame:
@@ -329,12 +329,19 @@ def _flat_totals(totals: DataFrame) -> DataFrame:
     )
 
 
-@_register("window_agg", _totals_sql("TRUE"))
+@_register("window_agg", _totals_sql())
 def window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_totals(city_totals(event_messages(_table(spark, sf_dir, "events"))))
 
 
-@_register("window_null_time", _totals_sql("event_id % 3 <> 0 AND event_id % 10 <> 0"))
+@_register(
+    "window_null_time",
+    _totals_sql(
+        "ts IS NOT NULL",
+        """(SELECT * REPLACE (CASE WHEN event_id % 3 <> 0 AND event_id % 10 <> 0 THEN ts END AS ts)
+            FROM events)""",
+    ),
+)
 def _window_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the event times are null and every tenth message is not JSON."""
     no_time = F.when(F.col("event_id") % 3 != 0, F.col("ts"))
@@ -344,7 +351,7 @@ def _window_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_totals(city_totals(_table(spark, sf_dir, "events").select(payload.alias("value"))))
 
 
-@_register("stream_window_complete", _totals_sql("TRUE"))
+@_register("stream_window_complete", _totals_sql())
 def _stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every trigger hands over the whole result, so the last one written is the answer."""
     out = scratch_path(spark, "complete")

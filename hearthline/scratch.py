@@ -24,7 +24,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, which can go once that has ended."""
+    folder = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

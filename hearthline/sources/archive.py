@@ -17,11 +17,8 @@ Both give the wire fields plus
                   array (``array``; null in ``lines``, where it needs a shuffle
                   and is worked out by ``operators.quarantine``).
 
-Records are decoded from text with an explicit corrupt-record field instead of by
-the JSON reader: that reader decodes selected columns only, so an error in another
-column would pass unseen. Flags travel through ``inline``/``posexplode`` because a
-filter on a generated column stays above the decoding; on a projected one it would
-be pushed below and decode every record again.
+Every field of a record is checked, whatever is selected later: Spark decodes and
+checks only the columns a query uses, so an error in another one would pass unseen.
 """
 
 from __future__ import annotations
@@ -61,74 +58,62 @@ def scan_archive(
     ``fallback_names`` is read instead.
     """
     schema = schema or wire_schema()
-    if layout not in _DECODERS:
-        raise ValueError(f"layout must be one of {tuple(_DECODERS)}, not {layout!r}")
+    if layout not in _LAYOUTS:
+        raise ValueError(f"layout must be one of {tuple(_LAYOUTS)}, not {layout!r}")
+    reader, read_days, decode = _LAYOUTS[layout]
     if start is None:
-        text = _read(_any_depth(spark, layout) if layout == "array" else spark.read, root)
-    elif layout == "array":
-        text = _read_array_days(spark, root, start, end or start)
+        found = _load(reader(spark, schema).option("recursiveFileLookup", layout == "array"), root)
     else:
-        text = _read_line_days(spark, root, start, end or start)
-    if _nothing(text) and fallback_root:
-        text = _read(_any_depth(spark, layout, fallback_names), fallback_root)
-    if _nothing(text):
+        found = read_days(reader(spark, schema), root, start, end or start)
+    if _nothing(found) and fallback_root:
+        anywhere = reader(spark, schema).option("recursiveFileLookup", True)
+        found = _load(anywhere.option("pathGlobFilter", fallback_names), fallback_root)
+    if _nothing(found):
         where = " or ".join(filter(None, (root, fallback_root)))
         raise NoInputError(f"no archive files under {where}")
-    return _DECODERS[layout](text, schema, key)
+    return decode(found, schema, key)
 
 
-def _nothing(text: DataFrame | None) -> bool:
-    return text is None or text.select("source_file").isEmpty()
+def _nothing(found: DataFrame | None) -> bool:
+    return found is None or found.select("source_file").isEmpty()
 
 
-def _read(reader: DataFrameReader, path: str) -> DataFrame | None:
-    """Text with its file path, or None where ``path`` matches nothing."""
+def _load(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """Content with its file path, or None where ``path`` matches nothing."""
     try:
-        text = reader.format("text").load(path)
-        return text.select("*", F.col("_metadata.file_path").alias("source_file"))
+        return reader.load(path).select("*", F.col("_metadata.file_path").alias("source_file"))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def _any_depth(spark: SparkSession, layout: str, names: str = "*") -> DataFrameReader:
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", names)
-        .option("wholetext", str(layout == "array").lower())
-    )
+def _with_error(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(_ERROR, StringType())])
 
 
-def _read_array_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame | None:
-    days = [start + timedelta(n) for n in range((end - start).days + 1)]
-    folders = ",".join(day.strftime("%Y/%m/%d") for day in days)
-    return _read(spark.read.option("wholetext", "true"), f"{root}/{{{folders}}}/*")
+# --- lines ----------------------------------------------------------------------------------
+
 
+def _lines_reader(spark: SparkSession, schema: StructType) -> DataFrameReader:
+    reader = spark.read.format("json").schema(_with_error(schema))
+    return reader.option("columnNameOfCorruptRecord", _ERROR)
 
-def _read_line_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame | None:
+
+def _lines_days(reader: DataFrameReader, root: str, start: date, end: date) -> DataFrame | None:
     # The root, not single day folders: only there is the sink's commit log honoured.
-    text = _read(spark.read, root)
-    if text is None:
+    found = _load(reader, root)
+    if found is None:
         return None
     day = F.make_date(*(F.col(part).cast("int") for part in ("year", "month", "day")))
-    return text.filter(day.between(F.lit(start), F.lit(end)))
-
-
-def _record(text: Column, schema: StructType) -> Column:
-    marked = StructType([*schema.fields, StructField(_ERROR, StringType())])
-    return F.from_json(text, marked, {"columnNameOfCorruptRecord": _ERROR})
+    return found.filter(day.between(F.lit(start), F.lit(end)))
 
 
-def _fits(record: Column, key: str) -> Column:
-    return record.isNotNull() & record[_ERROR].isNull() & record[key].isNotNull()
-
-
-def _decode_lines(text: DataFrame, schema: StructType, key: str) -> DataFrame:
-    rows = text.filter(F.trim("value") != "").select(
-        "source_file", F.inline(F.array(_record(F.col("value"), schema)))
-    )
-    return rows.select(
+def _decode_lines(found: DataFrame, schema: StructType, key: str) -> DataFrame:
+    names = [f"`{name}`" for name in _with_error(schema).names]
+    # Keeps every row (at least none of the fields is set), but makes the scan read all fields.
+    checked = found.dropna(thresh=0, subset=names)
+    return checked.select(
         *_fields(schema),
         "source_file",
         F.lit(None).cast("int").alias("record_index"),
@@ -137,7 +122,35 @@ def _decode_lines(text: DataFrame, schema: StructType, key: str) -> DataFrame:
     )
 
 
-def _decode_arrays(text: DataFrame, schema: StructType, key: str) -> DataFrame:
+# --- array ----------------------------------------------------------------------------------
+
+
+def _array_reader(spark: SparkSession, schema: StructType) -> DataFrameReader:
+    return spark.read.format("text").option("wholetext", True)
+
+
+def _array_days(reader: DataFrameReader, root: str, start: date, end: date) -> DataFrame | None:
+    days = [start + timedelta(n) for n in range((end - start).days + 1)]
+    folders = ",".join(day.strftime("%Y/%m/%d") for day in days)
+    return _load(reader, f"{root}/{{{folders}}}/*")
+
+
+def _record(text: Column, schema: StructType) -> Column:
+    return F.from_json(text, _with_error(schema), {"columnNameOfCorruptRecord": _ERROR})
+
+
+def _fits(record: Column, key: str) -> Column:
+    return record.isNotNull() & record[_ERROR].isNull() & record[key].isNotNull()
+
+
+def _decode_arrays(found: DataFrame, schema: StructType, key: str) -> DataFrame:
+    """One row per file up to ``posexplode``, one per record after it.
+
+    The JSON reader would do for good files, but it gives no row for an empty array,
+    ignores what follows the first one, and for every record of a bad file reads the
+    file again. A filter on the generated columns stays above the decoding; on
+    projected ones it would be pushed below and decode every record twice.
+    """
     # The outer brackets make anything after the first array an error or a second element.
     arrays = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<array<string>>")
     texts = F.when(F.size("arrays") == 1, F.col("arrays")[0])
@@ -150,7 +163,7 @@ def _decode_arrays(text: DataFrame, schema: StructType, key: str) -> DataFrame:
     # Zipped in, not captured by a lambda: that would check the whole file once per record.
     flags = F.array_repeat("file_ok", F.size("records"))
     rows = (
-        text.select("source_file", arrays.alias("arrays"))
+        found.select("source_file", arrays.alias("arrays"))
         .select("source_file", texts.alias("texts"))
         .select("source_file", records.alias("records"))
         .select("source_file", "records", file_ok.alias("file_ok"))
@@ -174,4 +187,7 @@ def _fields(schema: StructType, prefix: str = "") -> list[Column]:
     return [F.col(f"{prefix}`{name}`").alias(name) for name in schema.names]
 
 
-_DECODERS = {"array": _decode_arrays, "lines": _decode_lines}
+_LAYOUTS = {
+    "array": (_array_reader, _array_days, _decode_arrays),
+    "lines": (_lines_reader, _lines_days, _decode_lines),
+}

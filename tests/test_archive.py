@@ -145,6 +145,16 @@ def test_lines_layout_policies(spark, tmp_path):
     assert load_summary(scanned).first().asDict() == {"found": 2, "processed": 1, "failed": 1}
 
 
+def test_lines_layout_checks_fields_nobody_selects(spark, tmp_path):
+    bad = (listing(2, videoCount="n/a"), listing(None), listing(3, price=1.5), listing(4, x=1))
+    archive_batch(lines(spark, listing(1), *bad).coalesce(1), str(tmp_path), F.current_timestamp())
+    scanned = scan_archive(spark, str(tmp_path), layout="lines")
+    for policy, good in (("record", ["1", "4"]), ("file", [])):
+        narrow = curate(good_records(scanned, policy, "lines"), {"zpid": "zpid"})
+        assert keys(narrow) == good
+    assert bad_records(scanned).count() == 3
+
+
 def test_array_writer_makes_small_files(spark, tmp_path):
     df = spark.range(25).select(F.to_json(F.struct(F.col("id").alias("zpid"))).alias("value"))
     write_array_files(df.coalesce(1), str(tmp_path / "a"))
