@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Copies of the bad-file list; spreads the rows of one huge file over as many tasks.
+from hearthline.scratch import materialize
+
+# A list of bad files this long (a few megabytes of paths) is sent to every task.
+BROADCAST_FILES = 10_000
+
+# A longer one is joined by a shuffle; copies of it spread the rows of one huge file.
 SALTS = 64
 
 POLICIES = ("file", "record")
@@ -16,26 +21,26 @@ def good_records(scanned: DataFrame, policy: str = "file", layout: str = "array"
 
     ``file`` leaves out every record of a file that holds a bad one, ``record``
     the bad ones only. Marker rows of empty files are left out either way. In the
-    ``lines`` layout ``file`` reads the archive twice: once for the names of bad files.
+    ``lines`` layout ``file`` first reads ``scanned`` for the names of bad files.
     """
-    _check(policy)
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
+    columns = [F.col(f"`{name}`") for name in scanned.columns]
     records = scanned.filter("record_ok")
     if policy == "record":
         return records
     if layout == "array":
         return records.filter("file_ok")
+    bad = materialize(bad_records(scanned).select("source_file").distinct(), "bad-files")
+    if bad.count() <= BROADCAST_FILES:
+        return records.join(F.broadcast(bad), "source_file", "left_anti").select(*columns)
     # Running row id, not a hash: copies of one record must spread as well.
     salt = (F.monotonically_increasing_id() % SALTS).cast("int")
-    bad = (
-        scanned.filter(~F.col("record_ok"))
-        .select("source_file")
-        .distinct()
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return (
         records.withColumn("salt", salt)
-        .join(bad, ["source_file", "salt"], "left_anti")
-        .select(*(F.col(f"`{name}`") for name in scanned.columns))
+        .join(bad.withColumn("salt", salts), ["source_file", "salt"], "left_anti")
+        .select(*columns)
     )
 
 
@@ -60,8 +65,3 @@ def load_summary(scanned: DataFrame) -> DataFrame:
         (F.count("*") - failed).alias("processed"),
         failed.alias("failed"),
     )
-
-
-def _check(policy: str) -> None:
-    if policy not in POLICIES:
-        raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")

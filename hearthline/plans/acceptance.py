@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from hearthline.functions.event_time import date_parts, event_time
+from hearthline.functions.formatting import money, thousands
 from hearthline.functions.payload import encode_payload, json_array, parse_events
-from hearthline.functions.split import hash_bucket, split_by_key
+from hearthline.functions.split import hash_bucket, split_at_random, split_by_key
 from hearthline.operators.clean import fill_missing, with_price
 from hearthline.operators.curate import curate
 from hearthline.operators.features import feature_stages
@@ -213,7 +214,10 @@ _FILE_SIZE_SQL = "least(10000, greatest(100, count(*) // 50))"
 
 
 def _flawed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan of array files of consecutive events; in every seventh the first price is no number."""
+    """Scan of array files of consecutive events; in every seventh the first price is no number.
+
+    ``event_id`` is the table's key, so grouping by its range bounds each file.
+    """
     path = scratch_path(spark, "flawed")
     events = _table(spark, sf_dir, "events")
     size = min(10_000, max(100, events.count() // 50))
@@ -530,6 +534,19 @@ def _pred_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prediction_sample(part, columns, "p_retailprice", order=("p_partkey",))
 
 
+@_register(
+    "formatted_numbers",
+    """SELECT o_orderkey, '$' || format('{:,.2f}', o_totalprice) AS price,
+       format('{:,d}', o_orderkey * 1000) AS thousand_keys FROM orders""",
+)
+def _formatted_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        money(F.col("o_totalprice")).alias("price"),
+        thousands(F.col("o_orderkey") * 1000).alias("thousand_keys"),
+    )
+
+
 @_register(
     "table_sample",
     "SELECT p_brand, p_type, p_size, p_retailprice FROM part ORDER BY p_partkey LIMIT 5",
@@ -596,6 +613,13 @@ def _split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("p_partkey", hash_bucket(F.col("p_partkey")).alias("bucket"), "in_train")
 
 
+@_register("split_random", "SELECT p_partkey, p_retailprice FROM part")
+def _split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts together: the split neither loses nor repeats a row."""
+    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    return DataFrame.unionByName(*split_at_random(parts))
+
+
 def _featured(spark: SparkSession, sf_dir: str, stages: int) -> DataFrame:
     parts = _parts(spark, sf_dir)
     return Pipeline(stages=feature_stages(_CATEGORIES, _NUMERICS)[:stages]).fit(parts).transform(parts)

@@ -132,7 +132,7 @@ def _array_reader(spark: SparkSession, schema: StructType) -> DataFrameReader:
 def _array_days(reader: DataFrameReader, root: str, start: date, end: date) -> DataFrame | None:
     days = [start + timedelta(n) for n in range((end - start).days + 1)]
     folders = ",".join(day.strftime("%Y/%m/%d") for day in days)
-    return _load(reader, f"{root}/{{{folders}}}/*")
+    return _load(reader, f"{root}/{{{folders}}}")
 
 
 def _record(text: Column, schema: StructType) -> Column:

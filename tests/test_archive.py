@@ -4,10 +4,11 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from hearthline.operators import quarantine
 from hearthline.operators.curate import curate
 from hearthline.operators.quarantine import bad_records, file_status, good_records, load_summary
 from hearthline.sources.archive import NoInputError, scan_archive
-from hearthline.sources.events import event_stream
+from hearthline.sources.events import event_batch, event_stream
 from hearthline.streaming.archive import archive_batch, archive_stream, write_array_files
 from hearthline.streaming.queries import drain
 from tests.conftest import listing, put_array
@@ -134,7 +135,9 @@ def test_lines_layout_round_trip_by_day(spark, tmp_path):
         scan(date(2024, 1, 1))
 
 
-def test_lines_layout_policies(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_files", [10_000, 0], ids=["broadcast", "salted"])
+def test_lines_layout_policies(spark, tmp_path, monkeypatch, broadcast_files):
+    monkeypatch.setattr(quarantine, "BROADCAST_FILES", broadcast_files)
     root = str(tmp_path)
     when = F.to_timestamp(F.lit("2025-11-15"))
     archive_batch(lines(spark, listing(1), "", "not json", listing(2)).coalesce(1), root, when)
@@ -155,6 +158,11 @@ def test_lines_layout_checks_fields_nobody_selects(spark, tmp_path):
     assert bad_records(scanned).count() == 3
 
 
+def test_messages_can_be_read_once(spark, tmp_path):
+    lines(spark, listing(1), listing(2)).write.text(str(tmp_path / "in"))
+    assert event_batch(spark, "text", path=str(tmp_path / "in")).count() == 2
+
+
 def test_array_writer_makes_small_files(spark, tmp_path):
     df = spark.range(25).select(F.to_json(F.struct(F.col("id").alias("zpid"))).alias("value"))
     write_array_files(df.coalesce(1), str(tmp_path / "a"))
