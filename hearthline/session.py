@@ -22,7 +22,9 @@ def build_session(
     a keyed store). ``shuffle_partitions`` also fixes the number of state
     partitions of a stream at its first start, so size it for the state, not for
     one micro-batch. Streaming state is kept in RocksDB: the default provider
-    holds every window on the executor heap. Commits upload the changes only.
+    holds every window on the executor heap. Commits upload the changes only. A task
+    that writes to a few date folders keeps their files open together; otherwise
+    Spark sorts all its rows by folder first.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -31,6 +33,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:

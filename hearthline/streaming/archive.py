@@ -20,9 +20,12 @@ def dated_messages(df: DataFrame, ingested: Column | None = None, value: str = "
     Line breaks can only stand between JSON tokens, so they become spaces to keep
     one message per line; empty messages are left out.
     """
-    text = F.translate(F.col(value).cast("string"), "\r\n", "  ")
+    text = F.col(value).cast("string")
+    broken = F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+    # Few messages hold a line break, and looking for one is far cheaper than replacing.
+    line = F.when(broken, F.translate(text, "\r\n", "  ")).otherwise(text)
     when = F.current_timestamp() if ingested is None else ingested
-    return df.filter(F.col(value).isNotNull()).select(text.alias("value"), *date_parts(when))
+    return df.filter(F.col(value).isNotNull()).select(line.alias("value"), *date_parts(when))
 
 
 def archive_stream(
