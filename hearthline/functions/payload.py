@@ -38,6 +38,8 @@ def parse_events(
     """
     schema = wire_schema(fields, price="double", timestamp="double" if fractional else "long")
     parsed = decode_payload(df, schema, value)
+    if EVENT_TIME not in parsed.columns:
+        return parsed
     return parsed.withColumn(EVENT_TIME, event_time(F.col(EVENT_TIME), unit))
 
 

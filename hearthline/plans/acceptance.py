@@ -324,7 +324,11 @@ def _totals_sql(where: str = "TRUE", source: str = "events") -> str:
 
 
 def _flat_totals(totals: DataFrame) -> DataFrame:
-    flat = flatten_window(totals)
+    return _comparable(flatten_window(totals))
+
+
+def _comparable(flat: DataFrame) -> DataFrame:
+    """Zoneless times and rounded averages, as the SQL gives them."""
     return flat.select(
         _ntz("window_start", "window_start"),
         _ntz("window_end", "window_end"),
@@ -367,7 +371,7 @@ def _stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     totals = flatten_window(city_totals(event_messages(_table_stream(spark, sf_dir, "events"))))
     drain(for_each_batch(totals, write, scratch_path(spark, "checkpoint"), "complete", ONCE))
-    return _flat_parquet(spark, written[-1])
+    return _comparable(spark.read.parquet(written[-1]))
 
 
 @_register(
@@ -386,17 +390,7 @@ def _stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
             totals, scratch_path(spark, "checkpoint"), "parquet", "append", ONCE, {"path": out}
         )
     )
-    return _flat_parquet(spark, out)
-
-
-def _flat_parquet(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
-    return rows.select(
-        _ntz("window_start", "window_start"),
-        _ntz("window_end", "window_end"),
-        "city",
-        *(_rounded(c) if how == "avg" else F.col(c) for c, (how, _) in CITY_MEASURES.items()),
-    )
+    return _comparable(spark.read.parquet(out))
 
 
 # --- keyed upsert ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ DATE_PARTS = ("year", "month", "day")
 
 
 def dated_messages(df: DataFrame, ingested: Column | None = None, value: str = "value") -> DataFrame:
-    """Message text with its ingest date, by default the time of the micro-batch.
+    """Message text with its ingest date, by default the UTC date of the micro-batch.
 
     Line breaks can only stand between JSON tokens, so they become spaces to keep
     one message per line; empty messages are left out.
@@ -24,8 +24,9 @@ def dated_messages(df: DataFrame, ingested: Column | None = None, value: str = "
     broken = F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
     # Few messages hold a line break, and looking for one is far cheaper than replacing.
     line = F.when(broken, F.translate(text, "\r\n", "  ")).otherwise(text)
-    when = F.current_timestamp() if ingested is None else ingested
-    return df.filter(F.col(value).isNotNull()).select(line.alias("value"), *date_parts(when))
+    if ingested is None:
+        ingested = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return df.filter(F.col(value).isNotNull()).select(line.alias("value"), *date_parts(ingested))
 
 
 def archive_stream(

@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import date
 
 import pytest
@@ -115,6 +116,45 @@ def test_no_input_is_an_error(spark, tmp_path):
         scan_archive(spark, str(tmp_path / "nothing"), layout="lines")
 
 
+def test_random_archive_equals_brute_force(spark, tmp_path):
+    rng = random.Random(7)
+    good_files, good, failed = set(), [], 0
+    for number in range(60):
+        records = [
+            {
+                "zpid": rng.choice([number * 100 + n, number * 100 + n, str(number * 100 + n), None]),
+                "bedrooms": rng.choice([1, 2, 2, 3, None, 2**31, 1.5, True]),
+                "lotAreaValue": rng.choice([1, 1.5, 1.5, None, "1.5"]),
+                "isFeatured": rng.choice([True, False, True, None, 0]),
+                "city": rng.choice(["a", 7, {"b": 1}, None]),
+            }
+            for n in range(rng.choice([0, 1, 1, 2]))
+        ]
+        put_array(tmp_path, f"{number}.json", records)
+
+        def fits(record):
+            rooms, lot, flag = (record[k] for k in ("bedrooms", "lotAreaValue", "isFeatured"))
+            return (
+                record["zpid"] is not None
+                and (rooms is None or (type(rooms) is int and -(2**31) <= rooms < 2**31))
+                and (lot is None or type(lot) in (int, float))
+                and (flag is None or type(flag) is bool)
+            )
+
+        if all(map(fits, records)):
+            good_files.add(number)
+            good += [str(record["zpid"]) for record in records]
+        else:
+            failed += 1
+    scanned = scan_archive(spark, str(tmp_path))
+    assert keys(good_records(scanned)) == sorted(good) and good
+    assert load_summary(scanned).first().asDict() == {
+        "found": 60,
+        "processed": len(good_files),
+        "failed": failed,
+    }
+
+
 def lines(spark, *records):
     texts = [(r if isinstance(r, str) else json.dumps(r),) for r in records]
     return spark.createDataFrame(texts, "value string")

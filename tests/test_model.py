@@ -86,6 +86,15 @@ def test_same_input_same_predictions(listings):
     assert runs[0] == runs[1] and len(runs[0]) == 600
 
 
+def test_prediction_is_the_mean_of_the_trees(listings):
+    clean = listings.fillna("none").fillna(0).fillna(False)
+    model = fit_model(clean)
+    assert model.stages[-1].getNumTrees == 20
+    for row in model.transform(clean).orderBy("zpid").limit(5).collect():
+        votes = [tree.predict(row.features) for tree in model.stages[-1].trees]
+        assert row.prediction == pytest.approx(sum(votes) / len(votes))
+
+
 @pytest.mark.parametrize("split", ["key", "random"])
 def test_reports_cover_every_priced_row(spark, listings, tmp_path, split):
     reports = predict_prices(listings, str(tmp_path / "predictions"), split)

@@ -58,6 +58,10 @@ def test_only_named_fields_are_decoded_and_once(spark):
     assert text.count("from_json") == 1 and "brokerName" not in text
 
 
+def test_event_time_need_not_be_among_the_fields(spark):
+    assert parse_events(messages(spark, '{"city": "Encino"}'), ("city",)).first()["city"] == "Encino"
+
+
 def test_encode_writes_nulls(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert json.loads(df.select(encode_payload("a", "b")).first()[0]) == {"a": 1, "b": None}
