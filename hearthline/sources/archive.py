@@ -111,7 +111,7 @@ def _lines_days(reader: DataFrameReader, root: str, start: date, end: date) -> D
 
 def _decode_lines(found: DataFrame, schema: StructType, key: str) -> DataFrame:
     names = [f"`{name}`" for name in _with_error(schema).names]
-    # Keeps every row (at least none of the fields is set), but makes the scan read all fields.
+    # No field need be set, so every row stays; but the scan has to read all fields.
     checked = found.dropna(thresh=0, subset=names)
     return checked.select(
         *_fields(schema),
