@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from hearthline.plans.acceptance import QUERIES
 from tests.conftest import plan
 
 TABLES = Path("/root/testdata/sf0.001")
@@ -33,7 +34,7 @@ def normal(frame):
     return columns, sorted([value(cell) for cell in row] for row in plain)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))  # tests/llm has its own for the rest
 def test_query(spark, oracle, name):
     result = queries()[name](spark, str(TABLES))
     for unwanted in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):
