@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthline.llm.language import identify_languages
 from hearthline.llm.mixing import mix_sources
+from hearthline.llm.ngram_join import ngram_join
 from hearthline.llm.quality import score_quality
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.sharding import assign_shards
@@ -72,6 +73,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", fold(4) == 2).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op6_sharding": op6_sharding,
     "op7_warc": op7_warc,
     "op8_language": op8_language,
+    "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
