@@ -161,3 +161,31 @@ def mix_sources(
         F.array_compact(F.array(one, two)).alias("runs"),
     )
     return mixed, spark.createDataFrame(quotas, "output_shard int, source string, blocks long")
+
+
+def mixed_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each whole pass, and one for each further run.
+
+    The row of a run has the words of the run as its text, with single spaces; there are at
+    most two such documents in a source. ``n_chars``, where there is one, follows the text.
+    Rows that repeat an id are all taken as the one of which most is taken.
+    """
+    columns = docs.columns
+    taken = mixed.groupBy(F.col("doc_id").alias("taken_id")).agg(
+        F.max(F.struct("taken", "epochs", "size", "runs")).alias("mix")
+    )
+    epochs, runs = F.col("mix.epochs"), F.col("mix.runs")
+    whole = F.struct(F.lit(1).cast("long").alias("first"), F.col("mix.size").alias("last"))
+    copies = F.concat(F.array_repeat(whole, epochs.cast("int")), runs)
+    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"])).filter("mix.taken > 0")
+    rows = rows.select(*(docs[c] for c in columns), F.col("mix.size").alias("mix_size"), F.explode(copies).alias("run"))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    length = (F.col("run.last") - F.col("run.first") + 1).cast("int")
+    part = F.array_join(F.slice(words, F.col("run.first").cast("int"), length), " ")
+    cut = length < F.col("mix_size")
+    rows = rows.withColumn("text", F.when(cut, part).otherwise(F.col("text")))
+    if "n_chars" in columns:
+        rows = rows.withColumn(
+            "n_chars", F.when(cut, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
+        )
+    return rows.select(*columns)

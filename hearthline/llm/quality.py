@@ -221,3 +221,22 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_sample:
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_batches(docs.select("doc_id", "text"), judge, f"doc_id {kind}, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, max_sample: int = MAX_SAMPLE) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``score_quality`` predicts to be good. Nothing but
+    word vectors and the sample is shuffled."""
+    model = learn_quality(docs, labels, learn, max_sample)
+    if model is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for piece in pieces(batch.column(at)):
+                good = model.probability(pooled(piece, model.vectors)) >= 0.5
+                keep[piece.first : piece.first + piece.rows] = good
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

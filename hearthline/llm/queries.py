@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.llm.decontaminate import find_leaks
 from hearthline.llm.language import identify_languages
 from hearthline.llm.mixing import mix_sources
 from hearthline.llm.ngram_join import ngram_join
@@ -33,6 +34,10 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = score_toxicity(docs, labels, fold(5) != 0)
@@ -81,8 +86,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository, beside __spark_entry__.py
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_rules": op1_url_rules,
+    "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_quality": op5_quality,
@@ -91,5 +103,6 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}
