@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def text_words(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
 
 def all_words(texts: Sequence[str]) -> list[np.ndarray]:
     out = []
-    for piece in pieces(pa.array(texts, pa.large_string())):
+    for piece in pieces(pc.utf8_lower(pa.array(texts, pa.large_string()))):
         hashes, offsets = text_words(piece)
         out += [hashes[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     return out
@@ -265,7 +266,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for piece in pieces(batch.column(1)):
+                for piece in pieces(pc.utf8_lower(batch.column(1))):
                     found = leaks(index, piece)
                     rows = pa.array([piece.first + f[0] for f in found], pa.int64())
                     columns = {
@@ -293,7 +294,7 @@ def remove_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for piece in pieces(batch.column(at)):
+                for piece in pieces(pc.utf8_lower(batch.column(at))):
                     keep[[piece.first + f[0] for f in leaks(index, piece)]] = False
                 yield batch.filter(pa.array(keep))
 
