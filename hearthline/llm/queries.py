@@ -14,10 +14,13 @@ from hearthline.llm.ngram_join import ngram_join
 from hearthline.llm.quality import score_quality
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.sharding import assign_shards
+from hearthline.llm.sql import ORACLES
 from hearthline.llm.toxicity import score_toxicity
 from hearthline.llm.url_rules import filter_urls
 from hearthline.llm.warc import read_warc, write_warc
 
+__all__ = ["ORACLES", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -105,4 +108,3 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
