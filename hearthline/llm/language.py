@@ -141,7 +141,7 @@ def identify_languages(
             value = x @ model.weights / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1)) + model.bias
             best = value.argmax(1)
             known = lettered[first : first + len(found)]
-            score = np.clip((value[np.arange(len(best)), best] + 1) / 2, 0, 1)
+            score = np.round(np.clip((value[np.arange(len(best)), best] + 1) / 2, 0, 1), 6)
             yield {
                 "doc_id": ids.slice(first, len(found)),
                 "lang_pred": pa.array(np.where(known, names[best], UNKNOWN), pa.string()),

@@ -58,7 +58,8 @@ class QualityModel(NamedTuple):
         return layer @ self.out + self.out_bias
 
     def probability(self, pooled: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-self.logits(pooled) / self.temperature))
+        # Rounded: the last digits depend on which texts share a batch.
+        return np.round(1 / (1 + np.exp(-self.logits(pooled) / self.temperature)), 9)
 
 
 def word_keys(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
