@@ -20,13 +20,13 @@ from typing import NamedTuple
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.scratch import materialize, scratch_path
 
 FILE_BYTES = 16 << 20
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 RANGES = 1 << 12
 CONTROL = re.compile("[\\x00-\\x1f\\x7f]")
 FIXED_DATE = "2025-01-01T00:00:00Z"  # a real date would make every run's bytes differ
@@ -93,55 +93,48 @@ def read_members(stream, size: int = 1 << 20) -> Iterator[bytes]:
 
 
 def linked(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """page_id, url, html (null for revisits), n_bytes, digest, refers_to.
+    """page_id, n_bytes, digest and refers_to (null for responses) of every row.
 
     Of equal payloads the largest page id stays a response. The digests are aggregated
     before they meet the pages, so a payload that many pages share is one row there.
     """
-    payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(
-        "page_id",
-        "url",
-        payload.alias("html"),
-        F.octet_length(payload).cast("long").alias("n_bytes"),
-        F.unhex(F.sha1(payload)).alias("digest"),
-    )
+    rows = pages.select("page_id", _n_bytes().alias("n_bytes"), _digest().alias("digest"))
     first = (
-        pages.select(
-            "page_id",
-            F.octet_length(payload).alias("n"),
-            F.unhex(F.sha1(payload)).alias("digest"),
-        )
-        .filter(F.col("n") >= min_revisit_bytes)
+        rows.filter(F.col("n_bytes") >= min_revisit_bytes)
         .groupBy("digest")
         .agg(F.max("page_id").alias("kept_id"), F.count("*").alias("copies"))
         .filter("copies > 1")
         .drop("copies")
     )
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("kept_id")), F.col("kept_id"))
-    return rows.join(first, "digest", "left").select(
-        "page_id",
-        "url",
-        F.when(refers_to.isNull(), F.col("html")).alias("html"),
-        "n_bytes",
-        "digest",
-        refers_to.alias("refers_to"),
-    )
+    return rows.join(first, "digest", "left").select("page_id", "n_bytes", "digest", refers_to.alias("refers_to"))
+
+
+def _payload() -> Column:
+    return F.coalesce(F.col("html"), F.lit(""))
+
 
+def _n_bytes() -> Column:
+    return F.octet_length(_payload()).cast("long")
 
-def _sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
-    """Deal rows to shards by ranges of page ids; at most RANGES rows reach the driver.
 
-    The ranges are cut from equal stretches of the ids, and once more within each stretch
-    that holds more than a shard.
+def _digest() -> Column:
+    return F.unhex(F.sha1(_payload()))
+
+
+def _shard_of(links: DataFrame, shard_bytes: int) -> tuple[Column, int]:
+    """The shard of a page id, and the number of shards; at most RANGES rows reach the driver.
+
+    The shards are ranges of ids, cut from equal stretches of them, and once more within each
+    stretch that holds more than a shard.
     """
     size = F.when(F.col("refers_to").isNull(), F.col("n_bytes")).otherwise(0) + 400
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
+    low, high = links.agg(F.min("page_id"), F.max("page_id")).first()
     if low is None:
-        return rows.withColumn("shard", F.lit(0)), 1
+        return F.lit(0), 1
     width = -(-(high - low + 1) // RANGES)
     stretch = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(0)).cast("int")
-    sums = dict(rows.groupBy(stretch.alias("stretch")).agg(F.sum(size)).collect())
+    sums = dict(links.groupBy(stretch.alias("stretch")).agg(F.sum(size)).collect())
     shards, inner, shard, filled = [], [], 0, 0
     for i in range(RANGES):
         n = sums.get(i, 0)
@@ -155,7 +148,7 @@ def _sharded(rows: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
     of = F.element_at(F.array(*map(F.lit, shards)), stretch + 1)
     within = F.element_at(F.array(*map(F.lit, inner)), stretch + 1)
     step = F.coalesce(F.floor(F.pmod(F.col("page_id") - low, F.lit(width)) * within / width), F.lit(0))
-    return rows.withColumn("shard", (of + step).cast("int")), shard + 1
+    return (of + step).cast("int"), shard + 1
 
 
 def write_warc(
@@ -176,13 +169,24 @@ def write_warc(
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    rows = linked(pages.select("page_id", "url", "html"), min_revisit_bytes)
-    rows, n_shards = _sharded(rows, shard_bytes)
+    pages = pages.select("page_id", "url", "html")
+    links = materialize(linked(pages, min_revisit_bytes), "warc-links")
+    shard, n_shards = _shard_of(links, shard_bytes)
+    columns = ["page_id", "url", "html", "n_bytes", "digest", "refers_to"]
+    none = F.lit(None).cast("string")
+    whole = pages.withColumns(
+        {"n_bytes": _n_bytes(), "digest": _digest(), "refers_to": F.lit(None).cast(dict(links.dtypes)["refers_to"])}
+    )
+    # The marks of the revisits travel with the pages and stand before the pages they are about,
+    # so that the payloads are shuffled once.
+    marks = links.filter("refers_to IS NOT NULL").distinct().withColumns({"url": none, "html": none})
+    both = whole.select(*columns, F.lit(1).alias("kind")).union(marks.select(*columns, F.lit(0)))
     # Ids travel as text: pandas would turn a column of whole numbers with nulls into floats.
     sorted_rows = (
-        rows.repartition(n_shards, "shard")
-        .sortWithinPartitions("shard", "page_id", "url", "digest")
-        .select("shard", "url", "html", "n_bytes", "digest", *(F.col(c).cast("string") for c in ("page_id", "refers_to")))
+        both.withColumn("shard", shard)
+        .repartition(n_shards, "shard")
+        .sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
+        .select("kind", "shard", "url", "html", "n_bytes", "digest", *(F.col(c).cast("string") for c in ("page_id", "refers_to")))
     )
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +195,7 @@ def write_warc(
         attempt = uuid.uuid4().hex
         done: list[tuple] = []
         stream, shard, name, records, size, sha = None, None, "", 0, 0, hashlib.sha1()
-        seq = 0
+        seq, mark, refers_to = 0, None, None
 
         def close():
             stream.close()
@@ -201,6 +205,9 @@ def write_warc(
 
         for frame in batches:
             for row in frame.itertuples(index=False):
+                if row.kind == 0:
+                    mark, refers_to = (row.page_id, row.digest), row.refers_to
+                    continue
                 if stream is not None and (row.shard != shard or size >= file_bytes):
                     close()
                     stream = None
@@ -210,9 +217,8 @@ def write_warc(
                     name = f"{root}/.{attempt}-{shard}-{seq}.tmp"
                     stream = store.open_output_stream(name, compression=None)
                 payload = b"" if row.html is None else row.html.encode()
-                record = encode_record(
-                    row.page_id, row.url, payload, row.n_bytes, base32(row.digest), row.refers_to
-                )
+                about = refers_to if mark == (row.page_id, row.digest) else None
+                record = encode_record(row.page_id, row.url, payload, row.n_bytes, base32(row.digest), about)
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                 packed = packer.compress(record) + packer.flush()
                 stream.write(packed)
