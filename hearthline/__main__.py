@@ -14,15 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.functions.formatting import money, thousands
-from hearthline.operators.keyed_table import KeyedTable, table_exists
+from hearthline.operators.keyed_table import table_exists
 from hearthline.operators.quarantine import load_summary
 from hearthline.operators.readiness import table_readiness
 from hearthline.operators.reports import table_sample
-from hearthline.plans.load import curated_sample, load_table, stage_archive
-from hearthline.plans.train import SPLITS, predict_prices
+from hearthline.plans.load import (
+    curated_sample,
+    listing_table,
+    load_store,
+    load_table,
+    stage_archive,
+    write_rejected,
+)
+from hearthline.plans.train import SPLITS, NoListingsError, predict_prices
+from hearthline.scratch import clear_scratch
 from hearthline.session import build_session
 from hearthline.sources.archive import NoInputError
 from hearthline.sources.events import event_stream, kafka_options
+from hearthline.sources.tables import scan_table
 from hearthline.streaming.archive import archive_stream
 from hearthline.streaming.queries import city_totals, start_query
 
@@ -46,7 +55,7 @@ def run_archive(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> int:
     start_query(
-        city_totals(_messages(spark, args), args.unit),
+        city_totals(_messages(spark, args), args.unit, args.fractional),
         args.checkpoint,
         fmt=args.format,
         output_mode=args.output_mode,
@@ -64,26 +73,46 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> int:
         print(error, file=sys.stderr)
         return 1
     curated_sample(staged).show(truncate=False)
-    table = KeyedTable(spark, args.namespace, args.table, buckets=args.buckets)
-    load_table(staged, table, args.policy, args.layout)
-    load_summary(staged).show()
+    if args.rejected:
+        write_rejected(staged, args.rejected)
+    if args.format:
+        load_store(staged, args.format, dict(args.option), args.policy)
+    else:
+        load_table(staged, listing_table(spark, args.namespace, args.table, args.buckets), args.policy)
+    load_summary(staged, args.policy).show()
     return 0
 
 
+def _listings(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
+    """What the store's connector gives, or the catalog table; None if there is no such table."""
+    if args.format:
+        return scan_table(spark, fmt=args.format, options=dict(args.option))
+    if not table_exists(spark, args.namespace, args.table):
+        return None
+    return spark.table(f"{args.namespace}.{args.table}")
+
+
 def run_check(spark: SparkSession, args: argparse.Namespace) -> int:
-    ok, reason = table_readiness(spark, args.namespace, args.table)
+    listings = _listings(spark, args)
+    ok, reason = table_readiness(spark, args.namespace, args.table, listings if args.format else None)
     print(reason)
-    if ok:
-        sample = table_sample(spark.table(f"{args.namespace}.{args.table}"))
+    if listings is not None and not listings.isEmpty():
+        sample = table_sample(listings)
         sample.withColumn("price", F.concat(F.lit("$"), thousands(F.col("price")))).show(truncate=False)
     return 0 if ok else 1
 
 
 def run_predict(spark: SparkSession, args: argparse.Namespace) -> int:
-    if not table_exists(spark, args.namespace, args.table):
+    listings = _listings(spark, args)
+    if listings is None:
         print(f"table {args.namespace}.{args.table} does not exist", file=sys.stderr)
         return 1
-    reports = predict_prices(spark.table(f"{args.namespace}.{args.table}"), args.output, args.split)
+    try:
+        reports = predict_prices(listings, args.output, args.split, args.max_categories)
+    except NoListingsError as error:
+        print(error, file=sys.stderr)
+        return 1
+    print(f"{reports.rows:,} rows, {reports.cleaned:,} with a price")
     reports.sample.show(truncate=False)
     prices = ("avg_actual", "avg_predicted", "min_predicted", "max_predicted")
     reports.overall.select(
@@ -95,6 +124,13 @@ def run_predict(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _pair(text: str) -> tuple[str, str]:
+    key, found, value = text.partition("=")
+    if not found:
+        raise argparse.ArgumentTypeError(f"{text!r} is not KEY=VALUE")
+    return key, value
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="hearthline", description=__doc__)
     parser.add_argument("--master")
@@ -117,7 +153,8 @@ def _parser() -> argparse.ArgumentParser:
     stream = stream_command("stream", run_stream)
     stream.add_argument("--format", default="console")
     stream.add_argument("--output", help="target folder of file formats")
-    stream.add_argument("--output-mode", default="complete", choices=("complete", "append", "update"))
+    stream.add_argument("--output-mode", default="append", choices=("append", "update", "complete"))
+    stream.add_argument("--fractional", action="store_true", help="event times may have a fraction")
     stream.add_argument("--unit", default="ms", choices=("ms", "s"))
 
     def table_command(name: str, run) -> argparse.ArgumentParser:
@@ -125,6 +162,10 @@ def _parser() -> argparse.ArgumentParser:
         command.set_defaults(run=run)
         command.add_argument("--namespace", default="listings")
         command.add_argument("--table", default="current")
+        command.add_argument("--format", help="a store's connector in place of the catalog table")
+        command.add_argument(
+            "--option", action="append", default=[], type=_pair, help="KEY=VALUE for the connector"
+        )
         return command
 
     load = table_command("load", run_load)
@@ -135,18 +176,24 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--layout", default="lines", choices=("array", "lines"))
     load.add_argument("--fallback", help="root to search when the dates hold nothing")
     load.add_argument("--buckets", type=int, help="buckets of the table, default one per shuffle partition")
-    load.add_argument("--policy", default="file", choices=("file", "record"))
+    load.add_argument("--policy", default="record", choices=("record", "file"))
+    load.add_argument("--rejected", help="folder for rejected records with their text and reason")
     table_command("check", run_check)
     train = table_command("predict", run_predict)
     train.add_argument("--output", help="folder for the predictions")
     train.add_argument("--split", default="key", choices=tuple(SPLITS))
+    train.add_argument("--max-categories", type=int, help="refuse category columns with more values")
     return parser
 
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     packages = [name for name in args.packages.split(",") if name]
-    return args.run(build_session(master=args.master, packages=packages), args)
+    spark = build_session(master=args.master, packages=packages)
+    try:
+        return args.run(spark, args)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -49,8 +49,9 @@ def encode_payload(*columns: Column | str) -> Column:
 
 
 def encode_batches(df: DataFrame, size: int, value: str = "value") -> DataFrame:
-    """Pack JSON objects into JSON arrays of at most ``size`` objects.
+    """Pack JSON texts into JSON arrays of at most ``size``; see ``unreadable`` for the others.
 
+    One text that is not JSON would make its whole array unreadable, so each is checked.
     Batches follow the running row id of each partition, so no group can hold
     more than ``size`` rows whatever the data looks like. Row ids repeat only if
     row order does: give it a scan, not the output of a shuffle.
@@ -58,12 +59,23 @@ def encode_batches(df: DataFrame, size: int, value: str = "value") -> DataFrame:
     batch = F.floor(F.monotonically_increasing_id() / size).alias("batch")
     return (
         df.select(value, batch)
+        .filter(is_json(F.col(value)))
         .groupBy("batch")
         .agg(json_array(F.collect_list(value)).alias(value))
         .select(value)
     )
 
 
+def is_json(text: Column) -> Column:
+    """Whether a text is JSON; false for null."""
+    return F.try_parse_json(text.cast("string")).isNotNull()
+
+
+def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
+    """Messages that are not JSON, which ``encode_batches`` leaves out. Null messages hold nothing."""
+    return df.filter(F.col(value).isNotNull() & ~is_json(F.col(value)))
+
+
 def json_array(objects: Column) -> Column:
     """Array of JSON texts to the text of one JSON array."""
     return F.concat(F.lit("["), F.array_join(objects, ", "), F.lit("]"))

@@ -10,16 +10,11 @@ from pyspark.sql import functions as F
 
 from hearthline.schemas import CATEGORY_COLUMNS, NUMERIC_COLUMNS
 
-MAX_CATEGORIES = 10_000
+def require_bounded_categories(df: DataFrame, categories: Sequence[str], limit: int) -> None:
+    """Refuse columns with more than ``limit`` values (by estimate) to be categories.
 
-
-def require_bounded_categories(
-    df: DataFrame, categories: Sequence[str] = CATEGORY_COLUMNS, limit: int = MAX_CATEGORIES
-) -> None:
-    """Refuse columns with too many values to be categories.
-
-    An indexer keeps every value on the driver and in every task, and one-hot
-    features are as wide as the number of values, so this is checked before a fit.
+    An indexer keeps every value on the driver and in every task, and one-hot features
+    are as wide as the number of values, so a job may want to know before it fits.
     """
     counts = df.agg(*(F.approx_count_distinct(c).alias(c) for c in categories)).first()
     wide = {c: counts[c] for c in categories if counts[c] > limit}

@@ -1,24 +1,28 @@
-"""Keyed table in the catalog: a view over the newest of a few bucketed snapshots.
-
-Parquet has no row-level update. Each upsert writes a whole new snapshot and then
-repoints the view, so readers see either the old state or the new one, and a job
-that dies half-way leaves the view as it was. A connector to a store with its own
-upsert is used through ``append_to_store`` instead.
+"""Keyed table in the catalog, partitioned by hash buckets of the key.
+
+Parquet has no row-level update. An upsert writes new files for the buckets that the batch
+touches and then points those partitions at them; the other buckets' files stay as they
+are, so the cost follows the batch's spread and not the table. Readers of a replaced bucket
+keep its old files until ``vacuum`` removes those older than an age. A job that dies
+half-way has replaced some buckets or none; repeating the batch finishes it. A connector
+to a store with its own upsert is used through ``append_to_store`` instead.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hearthline.operators.latest import latest_per_key, merge_latest
 from hearthline.schemas import KEY, curated_schema
+from hearthline.scratch import drop, materialize
 
-KEPT_SNAPSHOTS = 2
+BUCKET = "_bucket"
 
 
 def namespace_exists(spark: SparkSession, namespace: str) -> bool:
@@ -30,7 +34,11 @@ def table_exists(spark: SparkSession, namespace: str, table: str) -> bool:
 
 
 class KeyedTable:
-    """One row per key, later writes replace earlier ones."""
+    """One row per key, later writes replace earlier ones.
+
+    ``newer`` names columns of the schema that a replacing row must not have smaller; with
+    it an older batch that is loaded late changes nothing that is newer.
+    """
 
     def __init__(
         self,
@@ -41,6 +49,7 @@ class KeyedTable:
         schema: StructType | None = None,
         buckets: int | None = None,
         location: str | None = None,
+        newer: Sequence[str] = (),
     ):
         self.spark = spark
         self.namespace = namespace
@@ -49,54 +58,80 @@ class KeyedTable:
         self.schema = schema or curated_schema()
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.location = location
-        self.view = f"`{namespace}`.`{name}`"
+        self.newer = list(newer)
+        self.table = f"`{namespace}`.`{name}`"
 
     def ensure(self) -> KeyedTable:
-        """Create namespace and table if they are not there."""
+        """Create namespace and table if they are not there. An existing table keeps its buckets."""
         where = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}`{where}")
-        if not table_exists(self.spark, self.namespace, self.name):
-            self._publish(self.spark.createDataFrame([], self.schema))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}, `{BUCKET}` int) USING parquet "
+            f"PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ('buckets' = '{self.buckets}')"
+        )
+        kept = self.spark.sql(f"SHOW TBLPROPERTIES {self.table} ('buckets')").first()["value"]
+        self.buckets = int(kept)
         return self
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.view)
+        return self.spark.table(self.table).select(*(F.col(f"`{c}`") for c in self.schema.names))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)), F.lit(self.buckets)).cast("int")
 
     def upsert(self, batch: DataFrame, order: Sequence[str]) -> None:
         """Merge a batch; within it the row with the greatest ``order`` wins.
 
-        Merging the same batch again gives the same table, so a replay is harmless.
-        One writer at a time. Every upsert rewrites the table: merge in large batches.
+        Rows with a null in the key can't be told apart and are left out (a scan marks them as
+        rejected). Merging the same batch again gives the same table, so a replay is harmless.
+        One writer at a time. The driver handles one number for each touched bucket.
         """
-        new = latest_per_key(batch, self.keys, order).select(*self.schema.names)
-        staged = f"`{self.namespace}`.`{self.name}__batch_{uuid.uuid4().hex}`"
-        try:
-            # Written first: a micro-batch is then read once, and the join knows its size.
-            new.write.format("parquet").saveAsTable(staged)
-            self._publish(merge_latest(self.read(), self.spark.table(staged), self.keys))
-        finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-
-    def _snapshots(self) -> list[tuple[int, str]]:
-        tables = self.spark.sql(f"SHOW TABLES IN `{self.namespace}` LIKE '{self.name}__*'")
-        numbered = re.compile(rf"{re.escape(self.name)}__(\d+)_[0-9a-f]+")
-        found = (numbered.fullmatch(row.tableName) for row in tables.collect())
-        return sorted((int(match.group(1)), match.group(0)) for match in found if match)
-
-    def _publish(self, content: DataFrame) -> None:
-        past = self._snapshots()
-        number = past[-1][0] + 1 if past else 1
-        # The suffix keeps clear of folders left by a write that died before it was registered.
-        snapshot = f"`{self.namespace}`.`{self.name}__{number:08d}_{uuid.uuid4().hex[:8]}`"
+        keyed = batch.dropna(subset=[f"`{k}`" for k in self.keys])
+        newest = latest_per_key(keyed, self.keys, order).select(*self.schema.names)
+        # Written first: a micro-batch is then read once, and the join knows its size.
+        new = materialize(newest.withColumn(BUCKET, self._bucket()), "upsert-batch")
+        touched = sorted(row[0] for row in new.select(BUCKET).distinct().collect())
+        if touched:
+            old = self.spark.table(self.table).filter(F.col(BUCKET).isin(touched))
+            merged = merge_latest(old.drop(BUCKET), new.drop(BUCKET), self.keys, self.newer)
+            self._replace(merged.withColumn(BUCKET, self._bucket()), touched)
+        drop(new)
+
+    def _versions(self) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}")
+        location = described.filter("col_name = 'Location'").first()["data_type"]
+        return f"{location.rstrip('/')}/versions"
+
+    def _replace(self, content: DataFrame, buckets: Sequence[int]) -> None:
+        folder = f"{self._versions()}/{uuid.uuid4().hex}"
         (
-            content.write.format("parquet")
-            .bucketBy(self.buckets, *self.keys)
-            .sortBy(*self.keys)
-            .saveAsTable(snapshot)
+            content.repartition(len(buckets), BUCKET)
+            .sortWithinPartitions(BUCKET, *(f"`{k}`" for k in self.keys))
+            .write.partitionBy(BUCKET)
+            .parquet(folder)
         )
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view} AS SELECT * FROM {snapshot}")
-        for _, old in past[: max(0, len(past) + 1 - KEPT_SNAPSHOTS)]:
-            self.spark.sql(f"DROP TABLE IF EXISTS `{self.namespace}`.`{old}`")
+        for bucket in buckets:
+            which = f"PARTITION (`{BUCKET}` = {bucket})"
+            where = f"LOCATION '{folder}/{BUCKET}={bucket}'"
+            self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {which} {where}")
+            self.spark.sql(f"ALTER TABLE {self.table} {which} SET {where}")
+        self.spark.catalog.refreshTable(self.table)
+
+    def vacuum(self, older_than: timedelta) -> int:
+        """Remove replaced files older than an age that no reader needs any more; how many versions went."""
+        used = {name.split("/")[-3] for name in self.spark.table(self.table).inputFiles()}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._versions())
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return 0
+        limit = self.spark._jvm.java.lang.System.currentTimeMillis() - older_than.total_seconds() * 1000
+        gone = 0
+        for status in files.listStatus(path):
+            name = status.getPath().getName()
+            if name not in used and status.getModificationTime() <= limit:
+                gone += bool(files.delete(status.getPath(), True))
+        return gone
 
 
 def append_to_store(df: DataFrame, fmt: str, options: Mapping[str, str]) -> None:

@@ -20,14 +20,21 @@ def price_pipeline(
     trees: int = 20,
     depth: int = 10,
     seed: int = 42,
+    bootstrap: bool = True,
+    feature_subset: str = "auto",
 ) -> Pipeline:
-    """Index, encode, assemble, random forest."""
+    """Index, encode, assemble, random forest.
+
+    Without ``bootstrap`` and with ``feature_subset`` "all" every tree sees the same data.
+    """
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=price,
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
+        bootstrap=bootstrap,
+        featureSubsetStrategy=feature_subset,
     )
     return Pipeline(stages=[*feature_stages(categories, numerics), forest])
 
@@ -37,9 +44,12 @@ def fit_model(
     categories: Sequence[str] = CATEGORY_COLUMNS,
     numerics: Sequence[str] = NUMERIC_COLUMNS,
     price: str = "price",
-    **forest: int,
+    max_categories: int | None = None,
+    **forest: int | bool | str,
 ) -> PipelineModel:
-    require_bounded_categories(train, categories)
+    """Fit; ``max_categories`` refuses wider category columns first, at the cost of a pass."""
+    if max_categories is not None:
+        require_bounded_categories(train, categories, max_categories)
     return price_pipeline(categories, numerics, price, **forest).fit(train)
 
 
@@ -51,12 +61,12 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 def regression_metrics(
     df: DataFrame, actual: str = "price", predicted: str = "prediction"
 ) -> DataFrame:
-    """``rows``, ``rmse``, ``mae`` and ``r2`` in one pass, one row."""
+    """``rows``, ``rmse``, ``mae`` and ``r2`` (null where all prices are equal) in one pass, one row."""
     error = F.col(actual) - F.col(predicted)
     squared = F.avg(error * error)
     return df.agg(
         F.count("*").alias("rows"),
         F.sqrt(squared).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        (1 - squared / F.var_pop(actual)).alias("r2"),
+        (1 - F.try_divide(squared, F.var_pop(actual))).alias("r2"),
     )

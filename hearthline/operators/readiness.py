@@ -26,11 +26,18 @@ def readiness(df: DataFrame) -> DataFrame:
     )
 
 
-def table_readiness(spark: SparkSession, namespace: str, table: str) -> tuple[bool, str]:
-    """Verdict and reason for a catalog table; a missing one is reported, not raised."""
-    if not namespace_exists(spark, namespace):
-        return False, f"namespace {namespace} does not exist"
-    if not table_exists(spark, namespace, table):
-        return False, f"table {namespace}.{table} does not exist"
-    verdict = readiness(spark.table(f"{namespace}.{table}")).first()
+def table_readiness(
+    spark: SparkSession, namespace: str, table: str, rows: DataFrame | None = None
+) -> tuple[bool, str]:
+    """Verdict and reason for a catalog table, or for ``rows`` of a store in its place.
+
+    A missing table is reported, not raised.
+    """
+    if rows is None:
+        if not namespace_exists(spark, namespace):
+            return False, f"namespace {namespace} does not exist"
+        if not table_exists(spark, namespace, table):
+            return False, f"table {namespace}.{table} does not exist"
+        rows = spark.table(f"{namespace}.{table}")
+    verdict = readiness(rows).first()
     return verdict["ok"], f"{verdict['row_count']:,} rows: {verdict['status']}"

@@ -28,7 +28,7 @@ from hearthline.operators.features import feature_stages
 from hearthline.operators.keyed_table import KeyedTable
 from hearthline.operators.latest import latest_per_key, merge_latest
 from hearthline.operators.model import fit_model, predict, regression_metrics
-from hearthline.operators.quarantine import bad_records, good_records, load_summary
+from hearthline.operators.quarantine import bad_records, good_records, load_summary, rejected_records
 from hearthline.operators.readiness import readiness
 from hearthline.operators.reports import (
     group_report,
@@ -39,7 +39,7 @@ from hearthline.operators.reports import (
 )
 from hearthline.operators.windows import CITY_MEASURES, flatten_window
 from hearthline.schemas import wire_schema
-from hearthline.scratch import scratch_path
+from hearthline.scratch import materialize, scratch_path
 from hearthline.sources.archive import scan_archive
 from hearthline.sources.events import event_stream
 from hearthline.sources.tables import scan_table
@@ -165,11 +165,35 @@ def _curate_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- archive --------------------------------------------------------------------------------
 
 
-@_register("json_array_scan", f"SELECT {_WIRE_SQL} FROM events")
+_NOT_JSON = "event_id % 10 = 0"
+
+
+def _tenth_not_json(events: DataFrame) -> DataFrame:
+    good = encode_payload(*_wire_columns())
+    return events.select(F.when(F.expr(_NOT_JSON), "not json").otherwise(good).cast("binary").alias("value"))
+
+
+@_register("json_array_scan", f"SELECT {_WIRE_SQL} FROM events WHERE event_id % 10 <> 0")
 def _json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "arrays")
-    write_array_files(event_messages(_table(spark, sf_dir, "events")), path, size=10_000)
-    return curate(good_records(scan_archive(spark, path)))
+    """Every tenth message is not JSON; the others of its array are read all the same."""
+    path, rejected = scratch_path(spark, "arrays"), scratch_path(spark, "rejected")
+    write_array_files(_tenth_not_json(_table(spark, sf_dir, "events")), path, 10_000, rejected)
+    return curate(good_records(scan_archive(spark, path), "file"))
+
+
+@_register(
+    "archive_scan_day_array",
+    f"SELECT {_WIRE_SQL} FROM events WHERE ts::DATE = (SELECT max(ts)::DATE FROM events)",
+)
+def _archive_scan_day_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files in dated folders, the last day and all others."""
+    path = scratch_path(spark, "dated-arrays")
+    events = _table(spark, sf_dir, "events")
+    day = events.agg(F.to_date(F.max("ts")).alias("day")).first()["day"]
+    last = F.to_date("ts") == F.lit(day)
+    for rows, folder in ((last, f"{day:%Y/%m/%d}"), (~last, "2001/01/01")):
+        write_array_files(event_messages(events.filter(rows)), f"{path}/{folder}", 10_000)
+    return curate(good_records(scan_archive(spark, path, day), "file"))
 
 
 def _archived(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
@@ -189,16 +213,20 @@ def _archived(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 def _archive_scan_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, path = _archived(spark, sf_dir)
     day = events.agg(F.to_date(F.max("ts")).alias("day")).first()["day"]
-    return curate(good_records(scan_archive(spark, path, day, layout="lines"), "record", "lines"))
+    return curate(good_records(scan_archive(spark, path, day, layout="lines")))
 
 
 @_register("archive_scan_fallback", f"SELECT {_WIRE_SQL} FROM events")
 def _archive_scan_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records lie beside the ``.json`` files under another extension, which is not read."""
     path = scratch_path(spark, "loose")
-    _table(spark, sf_dir, "events").select(*_wire_columns()).write.json(f"{path}/a/b")
+    events = _table(spark, sf_dir, "events").select(*_wire_columns())
+    events.write.json(f"{path}/a/b")
+    columns = (F.col(f"`{name}`") for name in events.columns)
+    events.select(encode_payload(*columns).alias("value")).write.text(f"{path}/a/c")
     no_such_day = date(1999, 1, 1)
     scanned = scan_archive(spark, f"{path}/dated", no_such_day, layout="lines", fallback_root=path)
-    return curate(good_records(scanned, "record", "lines"))
+    return curate(good_records(scanned))
 
 
 @_register("archive_roundtrip", f"SELECT {_WIRE_SQL} FROM events")
@@ -206,51 +234,73 @@ def _archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     messages = event_messages(_table_stream(spark, sf_dir, "events"))
     drain(archive_stream(messages, path, scratch_path(spark, "checkpoint"), ONCE))
-    return curate(good_records(scan_archive(spark, path, layout="lines"), "record", "lines"))
+    return curate(good_records(scan_archive(spark, path, layout="lines")))
 
 
-# Array files of the flawed archive: about fifty of them, until each holds 10,000 records.
-_FILE_SIZE_SQL = "least(10000, greatest(100, count(*) // 50))"
+@_register("archive_mixed", f"SELECT {_WIRE_SQL} FROM events")
+def _archive_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One root, written half by a stream and half by a batch before and after it."""
+    path = scratch_path(spark, "archive")
+    events, stream = _table(spark, sf_dir, "events"), _table_stream(spark, sf_dir, "events")
+    archive_batch(event_messages(events.filter("event_id % 4 = 0")), path)
+    halved = event_messages(stream.filter("event_id % 2 = 1"))
+    drain(archive_stream(halved, path, scratch_path(spark, "checkpoint"), ONCE))
+    archive_batch(event_messages(events.filter("event_id % 4 = 2")), path)
+    return curate(good_records(scan_archive(spark, path, layout="lines")))
 
 
-def _flawed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan of array files of consecutive events; in every seventh the first price is no number.
+_FILE_SIZE = 100
+_BAD = f"event_id % {7 * _FILE_SIZE} = 0"
 
-    ``event_id`` is the table's key, so grouping by its range bounds each file.
-    """
-    path = scratch_path(spark, "flawed")
-    events = _table(spark, sf_dir, "events")
-    size = min(10_000, max(100, events.count() // 50))
+
+def _flawed_messages(events: DataFrame) -> DataFrame:
+    """Consecutive events in files; in every seventh file the first price is no number."""
     id_and_city = (F.col("event_id").alias("zpid"), F.col("event_type").alias("city"))
     price = F.round(F.col("value") * 100).cast("long")
-    message = F.when(
-        F.col("event_id") % (7 * size) == 0,
-        encode_payload(*id_and_city, F.lit("n/a").alias("price")),
-    ).otherwise(encode_payload(*id_and_city, price.alias("price")))
-    (
-        events.groupBy(F.floor(F.col("event_id") / size))
-        .agg(json_array(F.collect_list(message)).alias("value"))
-        .select("value")
-        .write.option("maxRecordsPerFile", 1)
-        .text(path)
+    message = F.when(F.expr(_BAD), encode_payload(*id_and_city, F.lit("n/a").alias("price"))).otherwise(
+        encode_payload(*id_and_city, price.alias("price"))
     )
-    return scan_archive(spark, path, schema=wire_schema(("zpid", "city", "price")))
+    return events.select(F.floor(F.col("event_id") / _FILE_SIZE).alias("file"), message.alias("value"))
+
 
+def _flawed_archive(spark: SparkSession, sf_dir: str, layout: str = "array") -> DataFrame:
+    """Scan of the flawed files. ``event_id`` is the table's key, so its range bounds each file."""
+    path = scratch_path(spark, "flawed")
+    messages = _flawed_messages(_table(spark, sf_dir, "events"))
+    if layout == "array":
+        files = messages.groupBy("file").agg(json_array(F.collect_list("value")).alias("value"))
+        files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    else:  # a folder for each file, written by one task
+        messages.repartition("file").write.partitionBy("file").text(path)
+    return scan_archive(spark, path, layout=layout, schema=wire_schema(("zpid", "city", "price")))
 
-_FLAWED_SQL = f"""WITH sized AS (SELECT {_FILE_SIZE_SQL} AS size FROM events), marked AS (
-    SELECT event_id, event_type, value, event_id // size AS file, event_id % (7 * size) = 0 AS bad,
-           bool_or(event_id % (7 * size) = 0) OVER (PARTITION BY event_id // size) AS bad_file
-    FROM events, sized)"""
+
+_FLAWED_SQL = f"""WITH marked AS (
+    SELECT event_id, event_type, value, event_id // {_FILE_SIZE} AS file,
+           {_BAD} AS bad,
+           bool_or({_BAD}) OVER (PARTITION BY event_id // {_FILE_SIZE}) AS bad_file
+    FROM events)"""
 
 
 @_register(
     "load_summary",
     f"""{_FLAWED_SQL} SELECT count(*) AS found, count_if(NOT bad)::BIGINT AS processed,
-        count_if(bad)::BIGINT AS failed
-        FROM (SELECT bool_or(bad) AS bad FROM marked GROUP BY file)""",
+        count_if(bad)::BIGINT AS failed, sum(CASE WHEN bad THEN 0 ELSE n END)::BIGINT AS loaded,
+        sum(CASE WHEN bad THEN n ELSE 0 END)::BIGINT AS rejected
+        FROM (SELECT bool_or(bad) AS bad, count(*) AS n FROM marked GROUP BY file)""",
 )
 def _load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_summary(_flawed_archive(spark, sf_dir))
+    return load_summary(_flawed_archive(spark, sf_dir), "file")
+
+
+@_register(
+    "load_summary_record",
+    f"""{_FLAWED_SQL} SELECT count(DISTINCT file) AS found, count(DISTINCT file) AS processed,
+        0::BIGINT AS failed, count_if(NOT bad)::BIGINT AS loaded, count_if(bad)::BIGINT AS rejected FROM marked""",
+)
+def _load_summary_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a file with good and bad records the good ones are loaded, so it has not failed."""
+    return load_summary(_flawed_archive(spark, sf_dir), "record")
 
 
 _GOOD_SQL = "SELECT event_id::VARCHAR AS zpid, event_type AS city, round(value * 100)::BIGINT AS price"
@@ -258,7 +308,37 @@ _GOOD_SQL = "SELECT event_id::VARCHAR AS zpid, event_type AS city, round(value *
 
 @_register("quarantine_file", f"{_FLAWED_SQL} {_GOOD_SQL} FROM marked WHERE NOT bad_file")
 def _quarantine_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return good_records(_flawed_archive(spark, sf_dir)).select("zpid", "city", "price")
+    return good_records(_flawed_archive(spark, sf_dir), "file").select("zpid", "city", "price")
+
+
+@_register("quarantine_lines_file", f"{_FLAWED_SQL} {_GOOD_SQL} FROM marked WHERE NOT bad_file")
+def _quarantine_lines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return good_records(_flawed_archive(spark, sf_dir, "lines"), "file").select("zpid", "city", "price")
+
+
+@_register("quarantine_lines_record", f"{_FLAWED_SQL} {_GOOD_SQL} FROM marked WHERE NOT bad")
+def _quarantine_lines_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return good_records(_flawed_archive(spark, sf_dir, "lines")).select("zpid", "city", "price")
+
+
+_REJECTED_SQL = """SELECT format('{{"zpid":{},"city":"{}","price":"n/a"}}', event_id, event_type) AS record_text,
+    'does not fit the schema' AS reject_reason FROM marked WHERE bad"""
+
+
+@_register(
+    "rejected_records",
+    f"{_FLAWED_SQL}, rejected AS ({_REJECTED_SQL}) SELECT 'array' AS layout, * FROM rejected"
+    " UNION ALL SELECT 'lines', * FROM rejected",
+)
+def _rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of bad records of both layouts."""
+    both = (
+        rejected_records(_flawed_archive(spark, sf_dir, layout)).select(
+            F.lit(layout).alias("layout"), "record_text", "reject_reason"
+        )
+        for layout in ("array", "lines")
+    )
+    return reduce(DataFrame.unionByName, both)
 
 
 @_register("quarantine_record", f"{_FLAWED_SQL} {_GOOD_SQL} FROM marked WHERE NOT bad")
@@ -346,15 +426,19 @@ def window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     "window_null_time",
     _totals_sql(
         "ts IS NOT NULL",
-        """(SELECT * REPLACE (CASE WHEN event_id % 3 <> 0 AND event_id % 10 <> 0 THEN ts END AS ts)
-            FROM events)""",
+        """(SELECT * REPLACE (CASE WHEN event_id % 3 <> 0 AND event_id % 10 <> 0 AND event_id % 11 <> 0
+            THEN ts END AS ts) FROM events)""",
     ),
 )
 def _window_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the event times are null and every tenth message is not JSON."""
+    """A third of the event times are null, every tenth message is not JSON, some times are absurd."""
     no_time = F.when(F.col("event_id") % 3 != 0, F.col("ts"))
-    payload = F.when(F.col("event_id") % 10 == 0, "not json").otherwise(
-        encode_payload(*_wire_columns(no_time))
+    absurd = F.when(F.col("event_id") % 2 == 0, F.lit(2**63 - 1)).otherwise(F.lit(-(2**62)))
+    wire = _wire_columns(no_time)
+    payload = (
+        F.when(F.expr(_NOT_JSON), "not json")
+        .when(F.col("event_id") % 11 == 0, encode_payload(absurd.alias("timestamp"), *wire[1:]))
+        .otherwise(encode_payload(*wire))
     )
     return _flat_totals(city_totals(_table(spark, sf_dir, "events").select(payload.alias("value"))))
 
@@ -393,6 +477,69 @@ def _stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.read.parquet(out))
 
 
+_LATE_PERCENT = 5
+
+
+def _ordered_files(spark: SparkSession, sf_dir: str) -> tuple[list[str], StructType]:
+    """Events by time in four files, and the first of them (by time) once more in a fifth."""
+    events, folder = _table(spark, sf_dir, "events"), scratch_path(spark, "ordered")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    late, *cuts = (low + (high - low) * percent // 100 for percent in (_LATE_PERCENT, 25, 50, 75))
+    bounds = [low - 1, *cuts, high]
+    parts = [(at > a) & (at <= b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    paths = []
+    for number, rows in enumerate([*parts, at <= late]):
+        paths.append(f"{folder}/{number}")
+        events.filter(rows).coalesce(1).write.parquet(paths[-1])
+    return paths, events.schema
+
+
+def _restarted(spark: SparkSession, sf_dir: str, output_mode: str, write) -> None:
+    """The ordered files through one checkpoint, the query stopped and started again for each."""
+    paths, schema = _ordered_files(spark, sf_dir)
+    source, checkpoint = scratch_path(spark, "source"), scratch_path(spark, "checkpoint")
+    for path in paths:
+        spark.read.schema(schema).parquet(path).coalesce(1).write.mode("append").parquet(source)
+        stream = event_stream(spark, "parquet", path=source, schema=schema)
+        totals = flatten_window(city_totals(event_messages(stream)))
+        drain(for_each_batch(totals, write, checkpoint, output_mode, ONCE))
+
+
+_LATE_SQL = f"""epoch_us(ts) <= (SELECT min(epoch_us(ts))
+    + (max(epoch_us(ts)) - min(epoch_us(ts))) * {_LATE_PERCENT} // 100 FROM events)"""
+
+
+@_register(
+    "stream_restart",
+    _totals_sql(source=f"(SELECT * FROM events UNION ALL SELECT * FROM events WHERE {_LATE_SQL})"),
+)
+def _stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete mode keeps every window over four restarts, and counts the late rows in them."""
+    out = scratch_path(spark, "restarted")
+    written: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        written.append(f"{out}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(written[-1])
+
+    _restarted(spark, sf_dir, "complete", write)
+    return _comparable(spark.read.parquet(written[-1]))
+
+
+@_register("stream_late_update", _totals_sql())
+def _stream_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode drops the rows behind the watermark; the last update of a window is its total."""
+    out = scratch_path(spark, "updates")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
+
+    _restarted(spark, sf_dir, "update", write)
+    updates = spark.read.parquet(out).drop("part")
+    return _comparable(latest_per_key(updates, ["window_start", "city"], ["batch"]))
+
+
 # --- keyed upsert ---------------------------------------------------------------------------
 
 _ORDER = ("o_orderdate", "o_orderkey")
@@ -417,7 +564,7 @@ def _upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_latest(old, new, ["o_custkey"])
 
 
-def _orders_table(spark: SparkSession, schema: StructType) -> KeyedTable:
+def _orders_table(spark: SparkSession, schema: StructType, newer: tuple[str, ...] = ()) -> KeyedTable:
     namespace = f"acceptance_{uuid.uuid4().hex}"
     return KeyedTable(
         spark,
@@ -426,6 +573,7 @@ def _orders_table(spark: SparkSession, schema: StructType) -> KeyedTable:
         ["o_custkey"],
         StructType([StructField(f.name, f.dataType) for f in schema.fields]),
         location=scratch_path(spark, namespace),
+        newer=newer,
     ).ensure()
 
 
@@ -438,6 +586,31 @@ def _upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@_register("upsert_older_day", f"SELECT * FROM orders QUALIFY {_NEWEST}")
+def _upsert_older_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the dates is loaded first; the earlier half must not replace it."""
+    orders = _table(spark, sf_dir, "orders")
+    middle = orders.agg(F.percentile_approx("o_orderdate", 0.5).alias("day")).first()["day"]
+    table = _orders_table(spark, orders.schema, newer=_ORDER)
+    table.upsert(orders.filter(F.col("o_orderdate") >= F.lit(middle)), _ORDER)
+    table.upsert(orders.filter(F.col("o_orderdate") < F.lit(middle)), _ORDER)
+    return table.read()
+
+
+@_register(
+    "upsert_null_keys",
+    f"SELECT * FROM orders WHERE o_orderkey % 5 <> 0 QUALIFY {_NEWEST}",
+)
+def _upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key are left out, and the same batch again changes nothing."""
+    orders = _table(spark, sf_dir, "orders")
+    keyed = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")))
+    table = _orders_table(spark, orders.schema)
+    for _ in range(2):
+        table.upsert(keyed, _ORDER)
+    return table.read()
+
+
 @_register("stream_upsert", f"SELECT * FROM orders QUALIFY {_NEWEST}")
 def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table_stream(spark, sf_dir, "orders")
@@ -607,11 +780,16 @@ def _split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("p_partkey", hash_bucket(F.col("p_partkey")).alias("bucket"), "in_train")
 
 
-@_register("split_random", "SELECT p_partkey, p_retailprice FROM part")
+@_register("split_random", "SELECT p_partkey, p_retailprice, 1::BIGINT AS parts, TRUE AS fair FROM part")
 def _split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both parts together: the split neither loses nor repeats a row."""
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    return DataFrame.unionByName(*split_at_random(parts))
+    """Every row with the number of parts it is in, and whether the training part has four fifths."""
+    rows = _table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    train, held_out = split_at_random(rows)
+    both = train.withColumn("in_train", F.lit(1)).unionByName(held_out.withColumn("in_train", F.lit(0)))
+    share = both.agg(F.avg("in_train")).first()[0]
+    return both.groupBy("p_partkey", "p_retailprice").agg(
+        F.count("*").alias("parts"), F.lit(abs(share - 0.8) < 0.1).alias("fair")
+    )
 
 
 def _featured(spark: SparkSession, sf_dir: str, stages: int) -> DataFrame:
@@ -667,18 +845,40 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _parts(spark, sf_dir)
+    """Two features of a dozen combinations. Trees that all see the same data then agree, and
+    each prediction is the training part's mean of its combination."""
+    parts = materialize(_parts(spark, sf_dir), "parts")
     train, _ = split_by_key(parts, "p_partkey")
-    model = fit_model(train, _CATEGORIES, _NUMERICS, "p_retailprice")
+    model = fit_model(
+        train, ("p_type",), ("is_large",), "p_retailprice", bootstrap=False, feature_subset="all"
+    )
     return predict(model, parts)
 
 
-@_register("ml_predict")
+_SCORED_SQL = """WITH marked AS (
+    SELECT *, (('0x' || substr(md5(p_partkey::VARCHAR), 1, 4))::INTEGER % 10) < 8 AS in_train FROM part
+), means AS (
+    SELECT p_type, p_size > 25 AS is_large, avg(p_retailprice) AS prediction
+    FROM marked WHERE in_train GROUP BY ALL
+), scored AS (
+    SELECT m.*, prediction FROM marked m JOIN means ON m.p_type = means.p_type AND (p_size > 25) = is_large)"""
+
+
+@_register(
+    "ml_predict",
+    f"{_SCORED_SQL} SELECT p_partkey, p_retailprice, round(prediction, 6) AS prediction FROM scored",
+)
 def _ml_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select("p_partkey", "p_retailprice", "prediction")
+    return _scored(spark, sf_dir).select("p_partkey", "p_retailprice", _rounded("prediction"))
 
 
-@_register("ml_holdout")
+@_register(
+    "ml_holdout",
+    f"""{_SCORED_SQL} SELECT count(*) AS rows, round(sqrt(avg(e * e)), 6) AS rmse,
+        round(avg(abs(e)), 6) AS mae, round(1 - avg(e * e) / var_pop(p_retailprice), 9) AS r2
+        FROM (SELECT *, p_retailprice - prediction AS e FROM scored WHERE NOT in_train)""",
+)
 def _ml_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, held_out = split_by_key(_scored(spark, sf_dir), "p_partkey")
-    return regression_metrics(held_out, "p_retailprice")
+    metrics = regression_metrics(held_out, "p_retailprice")
+    return metrics.select("rows", _rounded("rmse"), _rounded("mae"), _rounded("r2", 9))

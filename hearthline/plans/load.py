@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hearthline.operators.curate import curate
 from hearthline.operators.keyed_table import KeyedTable, append_to_store
 from hearthline.operators.latest import latest_per_key
-from hearthline.operators.quarantine import good_records
+from hearthline.operators.quarantine import good_records, rejected_records
 from hearthline.schemas import EVENT_TIME, KEY, curated_schema
 from hearthline.scratch import materialize
 from hearthline.sources.archive import MARKS, scan_archive
@@ -19,6 +20,17 @@ from hearthline.sources.archive import MARKS, scan_archive
 LATEST = (EVENT_TIME, "source_file", "record_index")
 
 
+def listing_table(
+    spark: SparkSession, namespace: str, name: str, buckets: int | None = None, location: str | None = None
+) -> KeyedTable:
+    """The table of current listings: the curated columns and the event time they are from.
+
+    The time is compared, so loading an old day again leaves newer rows alone.
+    """
+    schema = StructType([*curated_schema().fields, StructField(EVENT_TIME, LongType())])
+    return KeyedTable(spark, namespace, name, schema=schema, buckets=buckets, location=location, newer=[EVENT_TIME])
+
+
 def stage_archive(
     spark: SparkSession,
     root: str,
@@ -32,12 +44,18 @@ def stage_archive(
     Upsert, load summary and quarantine all read this instead of the JSON text.
     """
     scanned = scan_archive(spark, root, start, end, layout, fallback_root)
-    return materialize(curate(scanned, keep=(EVENT_TIME, *MARKS)), "staged")
+    marks = [name for name in MARKS if name in scanned.columns]
+    return materialize(curate(scanned, keep=(EVENT_TIME, *marks)), "staged")
 
 
-def load_table(staged: DataFrame, table: KeyedTable, policy: str = "file", layout: str = "array") -> None:
+def load_table(staged: DataFrame, table: KeyedTable, policy: str = "record") -> None:
     """Upsert the good records into a catalog table."""
-    table.ensure().upsert(good_records(staged, policy, layout), LATEST)
+    table.ensure().upsert(good_records(staged, policy), LATEST)
+
+
+def write_rejected(staged: DataFrame, path: str) -> None:
+    """Append every rejected record as JSON: file, position, text and reason."""
+    rejected_records(staged).write.mode("append").option("ignoreNullFields", False).json(path)
 
 
 def curated_sample(staged: DataFrame, limit: int = 10) -> DataFrame:
@@ -49,9 +67,8 @@ def load_store(
     staged: DataFrame,
     fmt: str,
     options: Mapping[str, str],
-    policy: str = "file",
-    layout: str = "array",
+    policy: str = "record",
 ) -> None:
     """Upsert the good records through a keyed store's connector."""
-    newest = latest_per_key(good_records(staged, policy, layout), [KEY], LATEST)
+    newest = latest_per_key(good_records(staged, policy), [KEY], LATEST)
     append_to_store(newest.select(*curated_schema().names), fmt, options)

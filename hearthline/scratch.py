@@ -29,6 +29,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever it is stored; nothing happens if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop(written: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote to scratch and nobody reads any more."""
+    for path in {file.rsplit("/", 1)[0] for file in written.inputFiles()}:
+        remove(written.sparkSession, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has put in scratch; for the end of a job."""
+    remove(spark, f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
+
+
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and return the written table.
 

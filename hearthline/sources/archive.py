@@ -3,7 +3,7 @@
 Two layouts are read:
 
 ``array``  ``<root>/YYYY/MM/DD/<file>``, each file one JSON array of records.
-``lines``  ``<root>/year=YYYY/month=MM/day=DD/<file>``, one JSON object per line,
+``lines``  ``<root>/year=YYYY/month=MM/day=DD/**/<file>``, one JSON object per line,
            as written by ``hearthline.streaming.archive``. Files can be split
            between tasks, so this is the layout for large files.
 
@@ -13,9 +13,11 @@ Both give the wire fields plus
 ``record_index``  position in the file (``array``; null for a file with no record),
 ``record_ok``     false for a record with any field that does not fit the schema
                   or with a null key,
+``record_text``   text of a bad record (null where a file is no array at all),
+``reject_reason`` why it is bad,
 ``file_ok``       false if any record of the file is bad or the file is not an
-                  array (``array``; null in ``lines``, where it needs a shuffle
-                  and is worked out by ``operators.quarantine``).
+                  array (``array`` only: in ``lines`` it needs a shuffle and is worked
+                  out by ``operators.quarantine``).
 
 Every field of a record is checked, whatever is selected later: Spark decodes and
 checks only the columns a query uses, so an error in another one would pass unseen.
@@ -32,7 +34,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from hearthline.schemas import KEY, wire_schema
 
-MARKS = ("source_file", "record_index", "record_ok", "file_ok")
+MARKS = ("source_file", "record_index", "record_ok", "record_text", "reject_reason", "file_ok")
+NO_FIT, NO_KEY, NO_ARRAY = "does not fit the schema", "has no key", "is not a JSON array"
 _ERROR = "_record_error"
 
 
@@ -60,14 +63,16 @@ def scan_archive(
     schema = schema or wire_schema()
     if layout not in _LAYOUTS:
         raise ValueError(f"layout must be one of {tuple(_LAYOUTS)}, not {layout!r}")
-    reader, read_days, decode = _LAYOUTS[layout]
+    reader, day_pattern, decode = _LAYOUTS[layout]
+    anywhere = lambda: reader(spark, schema).option("recursiveFileLookup", True)
     if start is None:
-        found = _load(reader(spark, schema).option("recursiveFileLookup", layout == "array"), root)
+        found = _load(anywhere(), root)
     else:
-        found = read_days(reader(spark, schema), root, start, end or start)
+        # The folders of the days only: the driver lists nothing else, however old the archive.
+        days = [start + timedelta(n) for n in range(((end or start) - start).days + 1)]
+        found = _load(anywhere(), f"{root}/{{{','.join(day.strftime(day_pattern) for day in days)}}}")
     if _nothing(found) and fallback_root:
-        anywhere = reader(spark, schema).option("recursiveFileLookup", True)
-        found = _load(anywhere.option("pathGlobFilter", fallback_names), fallback_root)
+        found = _load(anywhere().option("pathGlobFilter", fallback_names), fallback_root)
     if _nothing(found):
         where = " or ".join(filter(None, (root, fallback_root)))
         raise NoInputError(f"no archive files under {where}")
@@ -100,25 +105,19 @@ def _lines_reader(spark: SparkSession, schema: StructType) -> DataFrameReader:
     return reader.option("columnNameOfCorruptRecord", _ERROR)
 
 
-def _lines_days(reader: DataFrameReader, root: str, start: date, end: date) -> DataFrame | None:
-    # The root, not single day folders: only there is the sink's commit log honoured.
-    found = _load(reader, root)
-    if found is None:
-        return None
-    day = F.make_date(*(F.col(part).cast("int") for part in ("year", "month", "day")))
-    return found.filter(day.between(F.lit(start), F.lit(end)))
-
-
 def _decode_lines(found: DataFrame, schema: StructType, key: str) -> DataFrame:
     names = [f"`{name}`" for name in _with_error(schema).names]
     # No field need be set, so every row stays; but the scan has to read all fields.
     checked = found.dropna(thresh=0, subset=names)
+    fits, keyed = F.col(_ERROR).isNull(), F.col(f"`{key}`").isNotNull()
+    text = F.coalesce(F.col(_ERROR), F.to_json(F.struct(*_fields(schema))))
     return checked.select(
         *_fields(schema),
         "source_file",
         F.lit(None).cast("int").alias("record_index"),
-        (F.col(_ERROR).isNull() & F.col(f"`{key}`").isNotNull()).alias("record_ok"),
-        F.lit(None).cast("boolean").alias("file_ok"),
+        (fits & keyed).alias("record_ok"),
+        F.when(~(fits & keyed), text).alias("record_text"),
+        F.when(~fits, NO_FIT).when(~keyed, NO_KEY).alias("reject_reason"),
     )
 
 
@@ -129,12 +128,6 @@ def _array_reader(spark: SparkSession, schema: StructType) -> DataFrameReader:
     return spark.read.format("text").option("wholetext", True)
 
 
-def _array_days(reader: DataFrameReader, root: str, start: date, end: date) -> DataFrame | None:
-    days = [start + timedelta(n) for n in range((end - start).days + 1)]
-    folders = ",".join(day.strftime("%Y/%m/%d") for day in days)
-    return _load(reader, f"{root}/{{{folders}}}")
-
-
 def _record(text: Column, schema: StructType) -> Column:
     return F.from_json(text, _with_error(schema), {"columnNameOfCorruptRecord": _ERROR})
 
@@ -173,12 +166,18 @@ def _decode_arrays(found: DataFrame, schema: StructType, key: str) -> DataFrame:
             F.posexplode_outer(F.arrays_zip("records", "flags")).alias("record_index", "item"),
         )
     )
-    fits = _fits(F.col("item.records"), key)
+    record = F.col("item.records")
+    fits = _fits(record, key)
+    bad = F.col("record_index").isNotNull() & ~fits
+    text = F.coalesce(record[_ERROR], F.to_json(F.struct(*_fields(schema, "item.records."))))
+    reason = F.when(record.isNull(), NO_ARRAY).when(record[_ERROR].isNotNull(), NO_FIT).otherwise(NO_KEY)
     return rows.select(
         *_fields(schema, "item.records."),
         "source_file",
         "record_index",
         F.when(F.col("record_index").isNotNull(), fits).alias("record_ok"),
+        F.when(bad & record.isNotNull(), text).alias("record_text"),
+        F.when(bad, reason).alias("reject_reason"),
         F.coalesce("item.flags", F.lit(True)).alias("file_ok"),
     )
 
@@ -188,6 +187,6 @@ def _fields(schema: StructType, prefix: str = "") -> list[Column]:
 
 
 _LAYOUTS = {
-    "array": (_array_reader, _array_days, _decode_arrays),
-    "lines": (_lines_reader, _lines_days, _decode_lines),
+    "array": (_array_reader, "%Y/%m/%d", _decode_arrays),
+    "lines": (_lines_reader, "year=%Y/month=%m/day=%d", _decode_lines),
 }

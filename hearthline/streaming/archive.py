@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.functions.event_time import date_parts
-from hearthline.functions.payload import encode_batches
+from hearthline.functions.payload import encode_batches, unreadable
+from hearthline.streaming.queries import for_each_batch
 
 DATE_PARTS = ("year", "month", "day")
 
@@ -36,34 +39,54 @@ def archive_stream(
     trigger: Mapping[str, object] | None = None,
     ingested: Column | None = None,
 ) -> StreamingQuery:
-    """Append messages to ``path/year=/month=/day=`` exactly once.
+    """Append messages below ``path/year=/month=/day=`` exactly once.
 
-    The checkpoint commits a micro-batch only after its files, so a stopped query
-    neither loses nor repeats messages. Flush time is the trigger interval, flush
-    size the source's rate cap; large batches keep files large.
+    Every micro-batch has folders of its own, named after the checkpoint and its number; one
+    that runs again after a failure has the same ingest time and replaces them. No log of the
+    sink decides what is read, so streams and batches can share a root, and nothing grows with
+    the archive's age. Flush time is the trigger interval, flush size the source's rate cap;
+    large batches keep files large.
     """
-    return (
-        dated_messages(messages, ingested)
-        .writeStream.format("text")
-        .partitionBy(*DATE_PARTS)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start()
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, number: int) -> None:
+        _write(batch, path, f"{stream}-{number}")
+
+    return for_each_batch(
+        dated_messages(messages, ingested),
+        write,
+        checkpoint,
+        trigger=trigger or {"processingTime": "10 seconds"},
     )
 
 
 def archive_batch(messages: DataFrame, path: str, ingested: Column | None = None) -> None:
     """The same tree from a batch. Rebalancing splits a heavy day and packs light ones."""
+    dated = dated_messages(messages, ingested).hint("rebalance", *DATE_PARTS)
+    _write(dated, path, f"batch-{uuid.uuid4().hex}")
+
+
+def _write(dated: DataFrame, path: str, name: str) -> None:
     (
-        dated_messages(messages, ingested)
-        .hint("rebalance", *DATE_PARTS)
-        .write.mode("append")
-        .partitionBy(*DATE_PARTS)
+        dated.withColumn("part", F.lit(name))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*DATE_PARTS, "part")
         .text(path)
     )
 
 
-def write_array_files(messages: DataFrame, path: str, size: int = 10) -> None:
-    """One JSON array per file, at most ``size`` messages each, for readers of that layout."""
+def write_array_files(
+    messages: DataFrame, path: str, size: int = 10, rejected: str | None = None
+) -> None:
+    """One JSON array per file, at most ``size`` messages each, for readers of that layout.
+
+    Messages that are not JSON would spoil their file; they go to ``rejected`` as text, and
+    without it end the write.
+    """
+    bad = unreadable(messages)
+    if rejected is not None:
+        bad.select(F.col("value").cast("string")).write.mode("append").text(rejected)
+    elif not bad.isEmpty():
+        raise ValueError("some messages are not JSON; name a folder for them")
     encode_batches(messages, size).write.option("maxRecordsPerFile", 1).mode("append").text(path)

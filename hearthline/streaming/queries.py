@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.functions.payload import parse_events
@@ -12,9 +12,9 @@ from hearthline.operators.keyed_table import KeyedTable
 from hearthline.operators.windows import CITY_FIELDS, window_totals
 
 
-def city_totals(messages: DataFrame, unit: str = "ms") -> DataFrame:
+def city_totals(messages: DataFrame, unit: str = "ms", fractional: bool = False) -> DataFrame:
     """Messages to per-minute totals per city; decodes only the fields these need."""
-    return window_totals(parse_events(messages, CITY_FIELDS, unit))
+    return window_totals(parse_events(messages, CITY_FIELDS, unit, fractional))
 
 
 def start_query(
@@ -83,10 +83,13 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def await_any(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Block until one query ends, then stop the others."""
+def await_any(queries: Iterable[StreamingQuery], poll: float = 1.0) -> None:
+    """Block until one of these queries ends, then stop the others; its failure is raised here."""
+    queries = list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        # Each wait ends at once if its query has; the session's other queries don't count.
+        while queries and not any(query.awaitTermination(poll / len(queries)) for query in queries):
+            pass
     finally:
         for query in queries:
             query.stop()

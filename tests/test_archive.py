@@ -5,9 +5,14 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from hearthline.operators import quarantine
 from hearthline.operators.curate import curate
-from hearthline.operators.quarantine import bad_records, file_status, good_records, load_summary
+from hearthline.operators.quarantine import (
+    bad_records,
+    file_status,
+    good_records,
+    load_summary,
+    rejected_records,
+)
 from hearthline.sources.archive import NoInputError, scan_archive
 from hearthline.sources.events import event_batch, event_stream
 from hearthline.streaming.archive import archive_batch, archive_stream, write_array_files
@@ -41,12 +46,15 @@ def mixed(tmp_path):
 
 def test_a_bad_record_fails_its_whole_file(spark, mixed):
     scanned = scan_archive(spark, mixed, DAY)
-    assert keys(good_records(scanned)) == ["1", "2", "3"]
-    assert load_summary(scanned).first().asDict() == {"found": 10, "processed": 3, "failed": 7}
+    assert keys(good_records(scanned, "file")) == ["1", "2", "3"]
+    found = {"found": 10, "processed": 3, "failed": 7, "loaded": 3, "rejected": 11}
+    assert load_summary(scanned, "file").first().asDict() == found
+    found = {"found": 10, "processed": 6, "failed": 4, "loaded": 7, "rejected": 7}
+    assert load_summary(scanned).first().asDict() == found
 
 
 def test_errors_outside_the_selected_columns_still_count(spark, mixed):
-    narrow = curate(good_records(scan_archive(spark, mixed, DAY)), {"zpid": "zpid"})
+    narrow = curate(good_records(scan_archive(spark, mixed, DAY), "file"), {"zpid": "zpid"})
     assert keys(narrow) == ["1", "2", "3"]
 
 
@@ -70,6 +78,16 @@ def test_bad_records_name_their_file(spark, mixed):
     ]
 
 
+def test_rejected_records_have_their_text_and_a_reason(spark, mixed):
+    rows = rejected_records(scan_archive(spark, mixed, DAY)).collect()
+    found = {r.source_file.rsplit("/", 1)[1]: (r.record_index, r.record_text, r.reject_reason) for r in rows}
+    index, text, reason = found["one_bad.json"]
+    assert (index, json.loads(text)["price"], reason) == (1, "n/a", "does not fit the schema")
+    index, text, reason = found["null_key.json"]
+    assert (index, json.loads(text)["city"], reason) == (0, "Encino", "has no key")
+    assert found["not_an_array.json"][1:] == (None, "is not a JSON array")
+
+
 def test_file_status_counts(spark, mixed):
     status = file_status(scan_archive(spark, mixed, DAY))
     found = {r.source_file.rsplit("/", 1)[1]: (r.records, r.bad_records) for r in status.collect()}
@@ -147,12 +165,10 @@ def test_random_archive_equals_brute_force(spark, tmp_path):
         else:
             failed += 1
     scanned = scan_archive(spark, str(tmp_path))
-    assert keys(good_records(scanned)) == sorted(good) and good
-    assert load_summary(scanned).first().asDict() == {
-        "found": 60,
-        "processed": len(good_files),
-        "failed": failed,
-    }
+    assert keys(good_records(scanned, "file")) == sorted(good) and good
+    summary = load_summary(scanned, "file").first()
+    assert (summary.found, summary.processed, summary.failed) == (60, len(good_files), failed)
+    assert summary.loaded == len(good)
 
 
 def lines(spark, *records):
@@ -169,23 +185,59 @@ def test_lines_layout_round_trip_by_day(spark, tmp_path):
     scan = lambda *days: scan_archive(spark, root, *days, layout="lines")
     assert keys(scan()) == ["1", "2", "3"]
     assert keys(scan(date(2025, 11, 16), date(2025, 12, 31))) == ["2", "3"]
-    details = scan(date(2025, 12, 5))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull" in details or "make_date" in details
+    files = scan(date(2025, 12, 5)).inputFiles()
+    assert len(files) == 1 and "/month=12/day=05/" in files[0], "no other day is listed"
     with pytest.raises(NoInputError):
         scan(date(2024, 1, 1))
 
 
-@pytest.mark.parametrize("broadcast_files", [10_000, 0], ids=["broadcast", "salted"])
-def test_lines_layout_policies(spark, tmp_path, monkeypatch, broadcast_files):
-    monkeypatch.setattr(quarantine, "BROADCAST_FILES", broadcast_files)
+def test_stream_and_batches_share_a_root(spark, tmp_path):
+    root, source = str(tmp_path / "root"), str(tmp_path / "in")
+    when = F.to_timestamp(F.lit("2025-11-15"))
+    archive_batch(lines(spark, listing(1)), root, when)
+    lines(spark, listing(2), listing(3)).write.text(source)
+    for number in range(2):  # another checkpoint archives the same messages again
+        stream = event_stream(spark, "text", path=source)
+        drain(archive_stream(stream, root, str(tmp_path / f"c{number}"), {"availableNow": True}, when))
+    archive_batch(lines(spark, listing(4)), root, when)
+    for days in ((), (DAY,)):
+        found = scan_archive(spark, root, *days, layout="lines")
+        assert keys(good_records(found)) == ["1", "2", "2", "3", "3", "4"]
+
+
+def test_a_batch_that_runs_again_replaces_its_files(spark, tmp_path):
+    root, source = str(tmp_path / "root"), str(tmp_path / "in")
+    lines(spark, listing(1), listing(2)).write.text(source)
+    checkpoint = tmp_path / "c"
+    for _ in range(2):
+        stream = event_stream(spark, "text", path=source)
+        drain(archive_stream(stream, root, str(checkpoint), {"availableNow": True}))
+        for commit in (checkpoint / "commits").iterdir():  # as if it had died before the commit
+            commit.unlink()
+    assert keys(scan_archive(spark, root, layout="lines")) == ["1", "2"]
+
+
+def test_array_files_leave_out_what_is_not_json(spark, tmp_path):
+    messages = lines(spark, *map(listing, range(9)), "not json").coalesce(1)
+    with pytest.raises(ValueError, match="not JSON"):
+        write_array_files(messages, str(tmp_path / "a"))
+    write_array_files(messages, str(tmp_path / "a"), rejected=str(tmp_path / "r"))
+    assert len(keys(good_records(scan_archive(spark, str(tmp_path / "a")), "file"))) == 9
+    assert [row.value for row in spark.read.text(str(tmp_path / "r")).collect()] == ["not json"]
+
+
+def test_lines_layout_policies(spark, tmp_path):
     root = str(tmp_path)
     when = F.to_timestamp(F.lit("2025-11-15"))
     archive_batch(lines(spark, listing(1), "", "not json", listing(2)).coalesce(1), root, when)
     archive_batch(lines(spark, listing(3), listing(3)).coalesce(1), root, when)
     scanned = scan_archive(spark, root, layout="lines")
-    assert keys(good_records(scanned, "record", "lines")) == ["1", "2", "3", "3"]
-    assert keys(good_records(scanned, "file", "lines")) == ["3", "3"]
-    assert load_summary(scanned).first().asDict() == {"found": 2, "processed": 1, "failed": 1}
+    assert keys(good_records(scanned)) == ["1", "2", "3", "3"]
+    assert keys(good_records(scanned, "file")) == ["3", "3"]
+    summary = load_summary(scanned, "file").first()
+    assert (summary.found, summary.processed, summary.failed) == (2, 1, 1)
+    rejected = rejected_records(scanned).collect()
+    assert [(r.record_text, r.reject_reason) for r in rejected] == [("not json", "does not fit the schema")]
 
 
 def test_lines_layout_checks_fields_nobody_selects(spark, tmp_path):
@@ -193,7 +245,7 @@ def test_lines_layout_checks_fields_nobody_selects(spark, tmp_path):
     archive_batch(lines(spark, listing(1), *bad).coalesce(1), str(tmp_path), F.current_timestamp())
     scanned = scan_archive(spark, str(tmp_path), layout="lines")
     for policy, good in (("record", ["1", "4"]), ("file", [])):
-        narrow = curate(good_records(scanned, policy, "lines"), {"zpid": "zpid"})
+        narrow = curate(good_records(scanned, policy), {"zpid": "zpid"})
         assert keys(narrow) == good
     assert bad_records(scanned).count() == 3
 

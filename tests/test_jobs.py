@@ -36,7 +36,15 @@ def test_archive_load_check_predict(spark, tmp_path, messages, capfd):
     assert main(["load", "--root", archive, *table]) == 1
     stream = ["--path", str(messages), "--once"]
     assert main(["archive", *stream, "--checkpoint", str(tmp_path / "c1"), "--output", archive]) == 0
-    assert main(["load", "--root", archive, *table]) == 0
+    (messages / "bad.txt").write_text('not json\n{"zpid": null, "city": "x"}\n')
+    again = [*stream, "--checkpoint", str(tmp_path / "c1"), "--output", archive]
+    assert main(["archive", *again]) == 0
+    rejected = str(tmp_path / "rejected")
+    assert main(["load", "--root", archive, *table, "--rejected", rejected]) == 0
+    assert sorted(r.reject_reason for r in spark.read.json(rejected).collect()) == [
+        "does not fit the schema",
+        "has no key",
+    ]
     current = spark.table("jobs.current")
     assert current.count() == 120
     assert current.filter("price % 1000 = 1").count() == 120, "the newer event of each key"
@@ -45,10 +53,26 @@ def test_archive_load_check_predict(spark, tmp_path, messages, capfd):
     assert "120 rows: MINIMAL DATA" in capfd.readouterr().out
     assert main(["predict", *table, "--output", str(tmp_path / "predictions")]) == 0
     out = capfd.readouterr().out
+    assert "120 rows, 120 with a price" in out
     assert "predicted_price" in out and "city 2" in out and "CONDO" in out and "r2" in out
     assert spark.read.parquet(str(tmp_path / "predictions")).count() == 120
 
 
+def test_stores_small_tables_and_tables_without_prices(spark, tmp_path, capfd):
+    put_array(tmp_path / "in", "a.json", [listing(n, price=None if n else 5) for n in range(5)])
+    store = ["--format", "parquet", "--option", f"path={tmp_path / 'store'}"]
+    assert main(["load", "--root", str(tmp_path / "in"), "--all", "--layout", "array", *store]) == 0
+    capfd.readouterr()
+    assert main(["check", *store]) == 1
+    out = capfd.readouterr().out
+    assert "5 rows: NOT ENOUGH DATA" in out and "Encino" in out, "the sample is shown all the same"
+    priceless = ["--format", "parquet", "--option", f"path={tmp_path / 'none'}"]
+    spark.read.parquet(str(tmp_path / "store")).filter("price is null").write.parquet(str(tmp_path / "none"))
+    assert main(["predict", *priceless]) == 1
+    with pytest.raises(SystemExit):
+        main(["check", "--option", "nothing"])
+
+
 def test_stream_to_files(spark, tmp_path, messages):
     args = ["--path", str(messages), "--once", "--checkpoint", str(tmp_path / "c")]
     out = ["--format", "json", "--output", str(tmp_path / "out"), "--output-mode", "append"]

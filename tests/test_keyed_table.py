@@ -1,4 +1,5 @@
 import uuid
+from datetime import timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -6,7 +7,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hearthline.operators.keyed_table import (
-    KEPT_SNAPSHOTS,
     KeyedTable,
     append_to_store,
     namespace_exists,
@@ -57,7 +57,7 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
         F.col("id").alias("t"),
     )
     newest = latest_per_key(df, ["k"], ["t"])
-    assert "partial_max_by" in plan(newest)
+    assert "partial_max" in plan(newest)
     assert newest.filter("k = 'hot'").first()["t"] == 99_999
     assert newest.count() == 66_667
 
@@ -77,7 +77,52 @@ def test_upsert_is_idempotent_and_later_writes_win(spark, table):
         assert content(table.read()) == [("a", 2, "y"), ("b", 1, "z")]
     table.upsert(frame(spark, ("a", 0, "older event, later write")), ["t"])
     assert content(table.read())[0] == ("a", 0, "older event, later write")
-    assert len(table._snapshots()) == KEPT_SNAPSHOTS
+
+
+def test_an_older_row_replaces_nothing_where_times_are_compared(spark):
+    schema = spark.createDataFrame([], ROW).schema
+    table = KeyedTable(spark, f"ns_{uuid.uuid4().hex}", "current", ["k"], schema, buckets=2, newer=["t"]).ensure()
+    table.upsert(frame(spark, ("a", 5, "new"), ("b", None, "no time")), ["t"])
+    table.upsert(frame(spark, ("a", 4, "old"), ("b", 1, "time"), ("c", 1, "x")), ["t"])
+    assert content(table.read()) == [("a", 5, "new"), ("b", 1, "time"), ("c", 1, "x")]
+    table.upsert(frame(spark, ("a", 5, "same time, later write")), ["t"])
+    assert content(table.read())[0] == ("a", 5, "same time, later write")
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", 1, None)]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        assert content(latest_per_key(frame(spark, *order).coalesce(1), ["k"], ["t"])) == [("a", 1, "y")]
+    maps = spark.createDataFrame([("a", 1, {"x": 1})], "k string, t long, m map<string,int>")
+    assert latest_per_key(maps, ["k"], ["t"]).count() == 1
+
+
+def test_rows_without_a_key_are_left_out_and_a_repeat_changes_nothing(spark, table):
+    table.ensure()
+    batch = frame(spark, (None, 1, "x"), ("a", 1, "y"))
+    for _ in range(2):
+        table.upsert(batch, ["t"])
+        assert content(table.read()) == [("a", 1, "y")]
+    table.upsert(frame(spark, (None, 1, "x")), ["t"])
+    assert content(table.read()) == [("a", 1, "y")]
+
+
+def test_an_upsert_leaves_the_files_of_other_buckets_alone(spark):
+    schema = spark.createDataFrame([], ROW).schema
+    table = KeyedTable(spark, f"ns_{uuid.uuid4().hex}", "current", ["k"], schema, buckets=8).ensure()
+    table.upsert(spark.range(100).selectExpr("CAST(id AS STRING) k", "id t", "'x' v"), ["t"])
+    before = set(table.read().inputFiles())
+    reader = table.read()
+    table.upsert(frame(spark, ("7", 200, "y")), ["t"])
+    after = set(table.read().inputFiles())
+    assert len(before) == len(after) == 8 and len(before & after) == 7
+    assert table.read().count() == 100 and table.read().filter("v = 'y'").count() == 1
+    assert reader.count() == 100
+    assert table.vacuum(timedelta(hours=1)) == 0
+    assert table.vacuum(timedelta(0)) == 0, "seven buckets still use the first version"
+    table.upsert(spark.range(100).selectExpr("CAST(id AS STRING) k", "id + 300 t", "'z' v"), ["t"])
+    assert table.vacuum(timedelta(0)) == 2
+    assert table.read().filter("v = 'z'").count() == 100
 
 
 def test_a_write_that_dies_leaves_the_table_as_it_was(spark, table):
@@ -90,18 +135,6 @@ def test_a_write_that_dies_leaves_the_table_as_it_was(spark, table):
     assert content(table.read()) == [("a", 1, "x"), ("c", 1, "x")]
 
 
-def test_merge_into_a_bucketed_table_moves_only_the_new_rows(spark, table):
-    table.ensure().upsert(frame(spark, ("a", 1, "x")), ["t"])
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(merge_latest(table.read(), frame(spark, ("b", 1, "x")), ["k"]))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert text.count("Exchange hashpartitioning") + text.count("Arguments: hashpartitioning") == 1
-    assert "Bucketed: true" in text
-
-
 def test_one_file_per_bucket_whatever_the_shuffle(spark):
     schema = spark.createDataFrame([], ROW).schema
     table = KeyedTable(spark, f"ns_{uuid.uuid4().hex}", "current", ["k"], schema, buckets=16)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hearthline.functions.split import hash_bucket, split_at_random, split_by_key
 from hearthline.operators.features import feature_stages, require_bounded_categories
 from hearthline.operators.model import fit_model, predict, regression_metrics
-from hearthline.plans.train import predict_prices
+from hearthline.plans.train import NoListingsError, predict_prices
 from hearthline.schemas import curated_schema
 
 
@@ -44,11 +44,37 @@ def test_flags_become_numbers(spark):
     assert [r.v[-1] for r in out.select(vector_to_array("features").alias("v")).collect()] == [1, 0]
 
 
-def test_wide_categories_are_refused(spark):
+def test_wide_categories_are_refused_on_request_only(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("c"))
     require_bounded_categories(df, ["c"], 2000)
     with pytest.raises(ValueError, match="too many"):
         require_bounded_categories(df, ["c"], 100)
+    wide = spark.range(20_000).select(F.col("id").cast("string").alias("c"), "id", F.col("id").alias("price"))
+    with pytest.raises(ValueError, match="too many"):
+        fit_model(wide, ["c"], ["id"], max_categories=10_000)
+    model = fit_model(wide, ["c"], ["id"], trees=1, depth=2)
+    assert predict(model, wide.limit(5)).count() == 5
+
+
+def test_nothing_to_train_on(spark, listings):
+    for rows in (listings.limit(0), listings.withColumn("price", F.lit(None).cast("long"))):
+        with pytest.raises(NoListingsError):
+            predict_prices(rows)
+
+
+def test_metrics_of_equal_prices_have_no_r2(spark):
+    for rows in (spark.range(3), spark.range(1)):
+        got = regression_metrics(rows.select(F.lit(5.0).alias("price"), F.lit(4.0).alias("prediction"))).first()
+        assert got["r2"] is None and got["rmse"] == 1
+    assert regression_metrics(spark.range(0).selectExpr("1D AS price", "1D AS prediction")).first()["rows"] == 0
+
+
+def test_trees_that_see_the_same_data_give_the_means(listings):
+    clean = listings.fillna("none").fillna(0)
+    model = fit_model(clean, ["city"], ["bathrooms"], bootstrap=False, feature_subset="all")
+    means = clean.groupBy("city", "bathrooms").agg(F.avg("price").alias("mean"))
+    for row in predict(model, clean).join(means, ["city", "bathrooms"]).limit(50).collect():
+        assert row.prediction == pytest.approx(row.mean)
 
 
 def test_key_split_ignores_partitioning(listings):

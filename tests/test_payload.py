@@ -1,9 +1,10 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from hearthline.functions.event_time import date_parts
+from hearthline.functions.event_time import date_parts, event_time
 from hearthline.functions.formatting import money, thousands
 from hearthline.functions.payload import decode_payload, encode_batches, encode_payload, parse_events
 from hearthline.operators.curate import curate
@@ -43,6 +44,16 @@ def test_bad_messages_become_nulls_and_good_fields_stay(spark):
     assert len(row) == len(WIRE_FIELDS) == 44
 
 
+@pytest.mark.parametrize("unit", ["ms", "s"])
+def test_absurd_event_times_are_null(spark, unit):
+    times = [2**63 - 1, -(2**63), 10**17, None, 0, 1_000_000_000]
+    rows = spark.createDataFrame([(t,) for t in times], "t long").select(event_time(F.col("t"), unit).alias("t"))
+    assert [r.t is None for r in rows.collect()] == [True] * 4 + [False] * 2
+    fractions = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,), (1.5,)], "t double")
+    rows = fractions.select(event_time(F.col("t"), unit).alias("t")).collect()
+    assert [r.t is None for r in rows] == [True] * 3 + [False]
+
+
 def test_dotted_names_survive_to_the_curated_table(spark):
     text = '{"zpid": 1, "listingSubType.is_newHome": true, "homeType": "CONDO"}'
     row = curate(decode_payload(messages(spark, text), wire_schema())).first()

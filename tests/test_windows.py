@@ -1,3 +1,4 @@
+import threading
 import json
 from datetime import datetime
 
@@ -143,9 +144,26 @@ def test_await_any_stops_the_rest_and_raises_the_failure(spark, tmp_path):
         "update",
         trigger={"availableNow": True},
     )
-    await_any(spark, [idle, done])
+    await_any([idle, done])
     assert not idle.isActive and not done.isActive
-    spark.streams.resetTerminated()
+
+
+def test_await_any_does_not_mind_queries_that_ended_before(spark, tmp_path):
+    batch(spark, message(0, 100)).write.text(str(tmp_path / "in"))
+
+    def start(name, trigger=None):
+        stream = event_stream(spark, "text", path=str(tmp_path / "in"))
+        return start_query(city_totals(stream), str(tmp_path / name), "noop", "update", trigger=trigger)
+
+    drain(start("ended", {"availableNow": True}))
+    running = start("running")
+    waiting = threading.Thread(target=await_any, args=([running], 0.1))
+    waiting.start()
+    waiting.join(2)
+    assert waiting.is_alive() and running.isActive
+    running.stop()
+    waiting.join(20)
+    assert not waiting.is_alive()
 
 
 def test_kafka_options():
