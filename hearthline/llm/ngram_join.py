@@ -22,10 +22,11 @@ Sets travel as packed 64-bit hashes, a node is the 64-bit hash of its set.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearthline.llm.arrow import map_batches
@@ -34,9 +35,27 @@ from hearthline.scratch import materialize
 
 SHINGLE = 5
 FLUSH = 1 << 20  # shingles gathered in a task before they are sent on
+BLOOM_FILTER = {  # whatever the size of either side
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+}
 MANY = 8  # sets that share a shingle within a task; such a shingle is sent on once
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that are run inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def needed(n):
     """The least overlap of a set of n with any set it links to: four fifths, rounded up."""
     return -(-4 * n // 5)
@@ -189,9 +208,13 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             }
 
     kind = dict(left.dtypes)["first_id"]
-    found = left.join(docs, left.first_id == docs.doc_id).select("node", "first_id", "n", "text")
+    # The filter (all sets have a shingle) marks this side as the selective one, so that Spark
+    # builds its Bloom filter from it and most texts are dropped before they are shuffled.
+    left = left.filter("n > 0")
+    found = docs.join(left, docs.doc_id == left.first_id).select("node", "first_id", "n", "text")
     packed = map_batches(found, pack, f"node long, first_id {kind}, n long, shingles binary")
-    return materialize(packed, "join-sets")
+    with settings(docs.sparkSession, BLOOM_FILTER):
+        return materialize(packed, "join-sets")
 
 
 # Step 2
