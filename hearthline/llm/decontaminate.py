@@ -32,7 +32,7 @@ GRAM_WORDS = 3
 ANSWER_WORDS = 5
 MIN_WORDS = 5  # shorter items can't be told from ordinary text
 BLOCK = 16  # segments
-BLOCK_ITEMS = 20_000  # items of one index
+INDEX_ITEMS, INDEX_BYTES = 20_000, 8 << 20  # about what one index holds at most
 K1, B = 1.2, 0.75
 _GRAM = np.uint64(0xD1342543DE82EF95)
 
@@ -238,9 +238,13 @@ def leaks(index: Index, piece: Piece, overlap: float = OVERLAP) -> list[tuple[in
 
 
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """One index after another, each of about BLOCK_ITEMS items dealt by a hash of the text."""
+    """One index after another, items dealt to them by a hash of their text.
+
+    So many that one holds about INDEX_ITEMS items and INDEX_BYTES of text at most.
+    """
     items = benchmark.select(id_col, text_col).filter(F.col(text_col).isNotNull())
-    n_blocks = max(1, -(-items.count() // BLOCK_ITEMS))
+    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()
+    n_blocks = max(1, -(-count // INDEX_ITEMS), -(-size // INDEX_BYTES))
     for i in range(n_blocks):
         block = items.filter(F.pmod(F.xxhash64(text_col), F.lit(n_blocks)) == i).collect()
         index = build_index(sorted(((r[0], r[1]) for r in block), key=str))
@@ -255,7 +259,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     Texts are read whole, whatever their length. Null and empty texts leak nothing, items that
     are null or shorter than MIN_WORDS words are never leaked, items with equal texts are each
     reported, and so is every repeated row. Without documents or items there are no rows. Other
-    columns are not read. Items are indexed BLOCK_ITEMS at a time, every document against
+    columns are not read. Items are indexed a bounded number at a time, every document against
     every index; an index is what a task holds besides its texts.
     """
     kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)["item_id"]
