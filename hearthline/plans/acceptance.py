@@ -249,7 +249,7 @@ def _archive_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(good_records(scan_archive(spark, path, layout="lines")))
 
 
-_FILE_SIZE = 100
+_FILE_SIZE = 500
 _BAD = f"event_id % {7 * _FILE_SIZE} = 0"
 
 
