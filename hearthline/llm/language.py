@@ -24,7 +24,7 @@ from hearthline.llm.tokens import LOWER, Piece, pieces
 
 PLACES = 1 << 15
 LONGEST = 4
-LANDMARKS = 32  # of a language
+LANDMARKS = 128  # of all languages together, two of each at least
 MAX_SAMPLE = 3000  # labelled texts that are learned from, all languages together
 MIN_SAMPLE = 20  # of a language, however many there are
 RIDGE = 1e-3
@@ -65,17 +65,24 @@ def _present(piece: Piece) -> np.ndarray:
     return found
 
 
+def _unit(bits: np.ndarray) -> np.ndarray:
+    """Presence rows of length one."""
+    x = np.unpackbits(bits, axis=1)[:, :PLACES].astype(np.float32)
+    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+
+
 def train(languages: list[str], bits: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
-    """Fit on packed presence rows; the first ``landmarks`` rows of each language are the landmarks."""
+    """Fit on packed presence rows; the first rows of each language are its landmarks."""
     names = sorted(set(languages))
     label = np.array([names.index(x) for x in languages])
-    x = np.unpackbits(bits, axis=1)[:, :PLACES].astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
-    base = x[np.concatenate([np.flatnonzero(label == i)[:landmarks] for i in range(len(names))])]
+    each = max(2, landmarks // len(names))
+    base = _unit(bits[np.concatenate([np.flatnonzero(label == i)[:each] for i in range(len(names))])])
     value, vector = np.linalg.eigh(base @ base.T)
     value = np.maximum(value, 1e-6)
     whiten = (vector / np.sqrt(value)) @ vector.T
-    features = np.column_stack([x @ base.T @ whiten, np.ones(len(x), np.float32)])
+    # A few rows are unpacked at a time: all of them would fill the driver.
+    kernel = np.concatenate([_unit(bits[i : i + ROWS]) @ base.T for i in range(0, len(bits), ROWS)])
+    features = np.column_stack([kernel @ whiten, np.ones(len(kernel), np.float32)])
     wanted = np.where(label[:, None] == np.arange(len(names)), 1.0, -1.0)
     # Every language weighs the same, however many of its texts were learned from.
     weight = (1 / np.bincount(label)[label])[:, None] / len(names)

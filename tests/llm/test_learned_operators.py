@@ -69,7 +69,7 @@ def test_language_scores_are_those_of_the_kernel():
     grams = [{w.encode()[i : i + n] for n in range(1, 5) for w in [t] for i in range(len(w.encode()) - n + 1)} for t in texts]
     present = np.concatenate([x for _, x in language.presence(pa.array(texts))])
     assert [int(x.sum()) for x in present] == pytest.approx([len(g) for g in grams], abs=6)  # a few share a place
-    model = language.train(langs, np.packbits(present, axis=1), landmarks=5)
+    model = language.train(langs, np.packbits(present, axis=1), landmarks=15)
     x = present.astype(float) / np.sqrt(present.sum(1, keepdims=True))
     base = x[np.concatenate([[i for i, s in enumerate(langs) if s == name][:5] for name in model.languages])]
     value, vector = np.linalg.eigh(base @ base.T)
