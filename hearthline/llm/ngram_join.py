@@ -234,7 +234,8 @@ def _unpacked(sets: DataFrame) -> DataFrame:
 def prefixes(sets: DataFrame) -> DataFrame:
     """node, first_id, n, shingle, position: prefix shingles that other sets hold too, rare ones first."""
     rows = _unpacked(sets)
-    often = rows.groupBy("shingle").count().filter("count > 1")
+    # Written, so that the join has a shuffle on either side: only then can Spark split a hot shingle.
+    often = materialize(rows.groupBy("shingle").count().filter("count > 1"), "join-often")
     order = Window.partitionBy("node").orderBy("count", "shingle")
     placed = rows.join(often, "shingle").select(
         "node",
@@ -333,6 +334,7 @@ def _first_pairs(rows: DataFrame) -> DataFrame:
         first = rows.groupBy("shingle").agg(
             F.min_by(F.struct(F.col("group").alias("a"), F.col("n").alias("m"), F.col("position").alias("q"), rank.alias("rank")), rank).alias("first")
         )
+        first = materialize(first, "join-first")  # as above, for the sake of hot shingles
         met = (
             rows.join(first, "shingle")
             .filter(F.col("group") != F.col("first.a"))
@@ -354,7 +356,8 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     main = sizes.groupBy("shingle").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("many")
     )
-    rows = materialize(rows.join(main.filter("many > 1").drop("many"), "shingle"), "join-cross")
+    main = materialize(main.filter("many > 1").drop("many"), "join-main")
+    rows = materialize(rows.join(main, "shingle"), "join-cross")
     minor = rows.filter("component <> main").select(
         "shingle",
         F.col("group").alias("a"),
