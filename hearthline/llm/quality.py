@@ -1,11 +1,13 @@
 """Quality classifier: random-indexing word vectors, pooled, under a two-layer network.
 
-Every word has a key made of its shape and its hashed letters. A key's index vector is
-sparse, random and fixed; its context vector is the sum of the index vectors of the
-words around all its occurrences in the corpus. A document is the mean of its words'
-normalised context vectors. A network with one hidden layer, trained with Adam in
-numpy, scores it; one temperature, fitted on rows the network has not seen, makes the
-scores probabilities.
+Every word, known by the 64-bit hash of its lower-cased letters, has a context vector: the
+sum, over all its occurrences in the corpus, of the fixed random signs of the words
+around it. Common words' vectors are few and go to every task; all others meet their
+documents in a shuffle. Beside them every word has a coarse key made of its shape and
+hashed letters, with a context vector of its own kind. A document is the mean of both
+kinds of vectors, normalised, over its words. A network with one hidden layer, trained
+with Adam in numpy, scores it; one temperature, fitted on rows the network has not
+seen, makes the scores probabilities.
 """
 
 from __future__ import annotations
@@ -20,10 +22,15 @@ from pyspark.sql import functions as F
 
 from hearthline.llm.arrow import map_batches
 from hearthline.llm.tokens import LOWER, Piece, mix, pieces, span_hashes, words
+from hearthline.scratch import materialize
 
 SHAPES, LETTERS = 64, 256
 KEYS = SHAPES * LETTERS
 SIZE, NONZERO, AROUND = 32, 4, 2
+WORD_SIZE, UNIT = 16, 127  # numbers of a word's own vector, each of one byte
+COMMON, WINDOW, LEAST = 1 << 21, 1 << 21, 4  # common: once in so many words; counted by windows
+FULL = 31  # occurrences whose signs, four words' each, a byte can sum
+TEXT_KEY = "_text_key"
 HIDDEN, STEPS, RATE, DECAY = 16, 800, 0.02, 1e-4
 MAX_SAMPLE = 8000
 CALIBRATION = 5  # one sampled row in so many sets the temperature
@@ -44,7 +51,6 @@ def _index_vectors() -> np.ndarray:
 
 
 class QualityModel(NamedTuple):
-    vectors: np.ndarray  # KEYS x SIZE, of length one
     mean: np.ndarray
     scale: np.ndarray
     hidden: np.ndarray
@@ -137,7 +143,244 @@ def pooled(piece: Piece, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(x: np.ndarray, good: np.ndarray, vectors: np.ndarray) -> QualityModel:
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def word_hashes(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of each lower-cased word, as a signed number, and where each text's words begin."""
+    found = words(piece)
+    return span_hashes(LOWER[piece.data], found.begin, found.end).view(np.int64), found.offsets
+
+
+def signs(hashes: np.ndarray) -> np.ndarray:
+    """The fixed random vector of each word, of ones and minus ones."""
+    bits = mix(hashes.view(np.uint64))[:, None] >> np.arange(WORD_SIZE, dtype=np.uint64) & np.uint64(1)
+    return (1 - 2 * bits.astype(np.int8)).astype(np.int8)
+
+
+def contexts(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the vectors around every single occurrence."""
+    own, sums = signs(hashes), np.zeros((len(hashes), WORD_SIZE), np.int8)
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    for k in range(1, AROUND + 1):
+        near = (owner[k:] == owner[:-k])[:, None]
+        sums[:-k] += own[k:] * near
+        sums[k:] += own[:-k] * near
+    return sums
+
+
+def unit(sums: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Context vectors of length UNIT in whole numbers; a word that stands nowhere near another has its own."""
+    sums = np.where(sums.any(1, keepdims=True), sums, signs(hashes)).astype(float)
+    return np.rint(sums * (UNIT / np.linalg.norm(sums, axis=1, keepdims=True))).astype(np.int8)
+
+
+def place(common: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each word is among the sorted common ones, -1 where it is not."""
+    if not len(common):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    return np.where(common[at] == hashes, at, -1)
+
+
+def common_words(docs: DataFrame, share: int = COMMON) -> np.ndarray:
+    """Sorted hashes of words that are one in ``share`` of all or more: ``share`` at most.
+
+    Which words these are decides where a vector is looked up, not what it is.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def tell() -> pa.RecordBatch:
+            word, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= LEAST
+            everything = np.array([size])
+            return pa.RecordBatch.from_pydict(
+                {"word": pa.array([None, *word[often].tolist()], pa.int64()), "n": np.concatenate([everything, n[often]])}
+            )
+
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                held.append(word_hashes(piece)[0])
+                size += len(held[-1])
+                if size >= WINDOW:
+                    yield tell()
+                    held, size = [], 0
+        if size:
+            yield tell()
+
+    counted = materialize(
+        docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts"
+    )
+    total = counted.filter("word IS NULL").first()
+    if total is None:
+        return np.zeros(0, np.int64)
+    often = counted.filter(F.col("word").isNotNull() & (F.col("n") * share >= total["n"])).select("word").toArrow()
+    return np.sort(often.column(0).to_numpy())
+
+
+def learn_common(docs: DataFrame, common: np.ndarray) -> np.ndarray:
+    """The vectors of the common words, from all their occurrences."""
+    names = [f"v{d}" for d in range(WORD_SIZE)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(common), WORD_SIZE), np.int64)
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                hashes, offsets = word_hashes(piece)
+                at = place(common, hashes)
+                on = np.flatnonzero(at >= 0)
+                on = on[np.argsort(at[on], kind="stable")]
+                if len(on):
+                    first = np.flatnonzero(np.diff(at[on], prepend=-1))
+                    sums[at[on[first]]] += np.add.reduceat(contexts(hashes, offsets)[on], first, axis=0, dtype=np.int64)
+        seen = np.flatnonzero(sums.any(1))
+        yield pa.RecordBatch.from_pydict({"at": seen} | {c: sums[seen, d].copy() for d, c in enumerate(names)})
+
+    def pack(batch: pa.RecordBatch) -> Iterator[dict]:
+        at = batch.column(0).to_numpy()
+        sums = np.column_stack([c.to_numpy() for c in batch.columns[1:]])
+        yield {"at": at, "v": pa.array([v.tobytes() for v in unit(sums, common[at])], pa.binary())}
+
+    rows = docs.select("text").mapInArrow(count, "at long, " + ", ".join(f"{c} long" for c in names))
+    summed = rows.groupBy("at").agg(*(F.sum(c) for c in names))
+    found = map_batches(summed, pack, "at long, v binary").toArrow()
+    vectors = unit(np.zeros((len(common), WORD_SIZE), np.int64), common)
+    if found.num_rows:
+        packed = b"".join(found.column("v").to_pylist())
+        vectors[found.column("at").to_numpy()] = np.frombuffer(packed, np.int8).reshape(-1, WORD_SIZE)
+    return vectors
+
+
+def other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """Of every text the vectors of its words that are not common, summed: key, words, s0 and up.
+
+    Equal texts have one row; words and sums count each of them.
+    """
+
+    def pairs(batch: pa.RecordBatch) -> Iterator[dict]:
+        keys = batch.column(0).to_numpy()
+        for piece in pieces(batch.column(1)):
+            hashes, offsets = word_hashes(piece)
+            on = np.flatnonzero(place(common, hashes) < 0)
+            if not len(on):
+                continue
+            owner = np.repeat(np.arange(piece.rows), np.diff(offsets))
+            around = contexts(hashes, offsets)
+            on = on[np.lexsort((hashes[on], owner[on]))]
+            new = np.ones(len(on), bool)
+            new[1:] = (hashes[on[1:]] != hashes[on[:-1]]) | (owner[on[1:]] != owner[on[:-1]])
+            begin = np.flatnonzero(new)
+            rank = np.arange(len(on)) - begin[np.cumsum(new) - 1]
+            begin = np.flatnonzero(rank % FULL == 0)
+            sums = np.ascontiguousarray(np.add.reduceat(around[on], begin, axis=0, dtype=np.int8)).view(np.int64)
+            yield {
+                "word": hashes[on[begin]],
+                "key": keys[piece.first + owner[on[begin]]],
+                "n": np.diff(begin, append=len(on)).astype(np.int32),
+                "a": sums[:, 0].copy(),
+                "b": sums[:, 1].copy(),
+            }
+
+    def answer(columns: list[np.ndarray]) -> pa.RecordBatch:
+        word, key, n, a, b = columns
+        new = np.diff(word, prepend=word[0]) != 0
+        new[0] = True
+        begin = np.flatnonzero(new)
+        sums = np.add.reduceat(np.column_stack([a, b]).view(np.int8), begin, axis=0, dtype=np.int64)
+        vectors = unit(sums, word[begin])[np.cumsum(new) - 1]
+        new[1:] |= key[1:] != key[:-1]
+        first = np.flatnonzero(new)
+        packed = np.ascontiguousarray(vectors[first]).view(np.int64)
+        n = np.add.reduceat(n, first, dtype=np.int64)
+        return pa.RecordBatch.from_pydict({"key": key[first], "n": n, "a": packed[:, 0].copy(), "b": packed[:, 1].copy()})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy() for c in batch.columns]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            if held and (cut or columns[0][0] != held[0][0][0]):  # a word ends here
+                parts = [*held, [c[:cut] for c in columns]]
+                yield answer([np.concatenate(c) for c in zip(*parts, strict=True)])
+                held = []
+            elif cut:
+                yield answer([c[:cut] for c in columns])
+            held.append([c[cut:] for c in columns])
+        if held:
+            yield answer([np.concatenate(c) for c in zip(*held, strict=True)])
+
+    found = map_batches(docs.select(text_key(), "text"), pairs, "word long, key long, n int, a long, b long")
+    met = found.repartition("word").sortWithinPartitions("word", "key").mapInArrow(meet, "key long, n long, a long, b long")
+    # Dealt by key before it is summed: partial sums are longer than what they sum.
+    places = [F.shiftright(F.shiftleft(c, 56 - 8 * d), 56) for c in ("a", "b") for d in range(8)]
+    return met.repartition("key").groupBy("key").agg(
+        F.sum("n").alias("words"), *(F.sum(F.col("n") * p).alias(f"s{d}") for d, p in enumerate(places))
+    )
+
+
+def features(docs: DataFrame, share: int = COMMON) -> DataFrame:
+    """One row for each row of docs: doc_id, the key of its text, and x, the mean of the vectors of its words."""
+    shapes = learn_vectors(docs)
+    common = common_words(docs, share)
+    vectors = learn_common(docs, common)
+
+    def own(batch: pa.RecordBatch) -> Iterator[dict]:
+        for piece in pieces(batch.column(2)):
+            hashes, offsets = word_hashes(piece)
+            at = place(common, hashes)
+            sums = np.zeros((piece.rows, WORD_SIZE), np.int64)
+            full, here = np.flatnonzero(np.diff(offsets)), np.flatnonzero(at >= 0)
+            if len(here):
+                owner = np.repeat(np.arange(piece.rows), np.diff(offsets))[here]
+                begin = np.flatnonzero(np.diff(owner, prepend=-1))
+                sums[owner[begin]] = np.add.reduceat(vectors[at[here]], begin, axis=0, dtype=np.int64)
+            others = np.zeros(piece.rows, np.int64)
+            if len(full):
+                others[full] = np.add.reduceat(at < 0, offsets[full], dtype=np.int64)
+            part = batch.slice(piece.first, piece.rows)
+            yield {
+                "doc_id": part.column(0),
+                "key": part.column(1),
+                "n": np.diff(offsets).astype(np.int64),
+                "others": others,
+                "shape": pa.array([x.tobytes() for x in pooled(piece, shapes)], pa.binary()),
+                "sums": pa.array([x.tobytes() for x in sums], pa.binary()),
+            }
+
+    def join(batch: pa.RecordBatch) -> Iterator[dict]:
+        if not batch.num_rows:
+            return
+        ids, keys, n, others, shape, sums, counted = batch.columns[:7]
+        n, others = n.to_numpy(), others.to_numpy()
+        shape = np.frombuffer(b"".join(shape.to_pylist()), np.float32).reshape(-1, SIZE)
+        sums = np.frombuffer(b"".join(sums.to_pylist()), np.int64).reshape(-1, WORD_SIZE)
+        rest = np.column_stack([c.fill_null(0).to_numpy() for c in batch.columns[7:]])
+        copies = np.maximum(counted.fill_null(0).to_numpy() // np.maximum(others, 1), 1)
+        mean = (sums + rest // copies[:, None]) / (UNIT * np.maximum(n, 1)[:, None])
+        x = np.column_stack([shape, mean.astype(np.float32)])
+        yield {"doc_id": ids, TEXT_KEY: keys, "x": pa.array([r.tobytes() for r in x], pa.binary())}
+
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = map_batches(
+        docs.select("doc_id", text_key(), "text"),
+        own,
+        f"doc_id {kind}, key long, n long, others long, shape binary, sums binary",
+    )
+    rest = other_words(docs, common)
+    joined = rows.join(rest, "key", "left").select(*rows.columns, *rest.columns[1:])
+    return materialize(map_batches(joined, join, f"doc_id {kind}, {TEXT_KEY} long, x binary"), "quality-features")
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, SIZE + WORD_SIZE)
+
+
+def train(x: np.ndarray, good: np.ndarray) -> QualityModel:
     """Fit the network on four rows in five, the temperature on the fifth."""
     held = np.arange(len(x)) % CALIBRATION == CALIBRATION - 1
     if len(set(good[~held])) < 2:  # too few rows to hold any out
@@ -146,7 +389,7 @@ def train(x: np.ndarray, good: np.ndarray, vectors: np.ndarray) -> QualityModel:
     mean, scale = a.mean(0), a.std(0) + 1e-3
     a = (a - mean) / scale
     random = np.random.Generator(np.random.PCG64(55))
-    params = [random.normal(0, SIZE**-0.5, (SIZE, HIDDEN)), np.zeros(HIDDEN), random.normal(0, 0.25, HIDDEN), np.zeros(1)]
+    params = [random.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), random.normal(0, 0.25, HIDDEN), np.zeros(1)]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     for t in range(1, STEPS + 1):
         hidden, bias, out, out_bias = params
@@ -158,7 +401,7 @@ def train(x: np.ndarray, good: np.ndarray, vectors: np.ndarray) -> QualityModel:
             m, v = moments[i]
             moments[i] = m, v = 0.9 * m + 0.1 * step, 0.999 * v + 0.001 * step**2
             params[i] = params[i] - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    model = QualityModel(vectors, mean, scale, *params[:3], float(params[3][0]), 1.0)
+    model = QualityModel(mean, scale, *params[:3], float(params[3][0]), 1.0)
     if not held.any():
         return model
     logits, truth = model.logits(x[held]), good[held].astype(float)
@@ -167,7 +410,8 @@ def train(x: np.ndarray, good: np.ndarray, vectors: np.ndarray) -> QualityModel:
     return model._replace(temperature=float(temperatures[int(np.argmin(loss))]))
 
 
-def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_sample: int) -> QualityModel | None:
+def learn_quality(made: DataFrame, labels: DataFrame, learn: Column, max_sample: int) -> QualityModel | None:
+    """The model of labelled rows of ``features``."""
     known = (
         labels.filter(learn & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id")
@@ -175,22 +419,13 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_sample:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_sample)
     )
-    vectors = learn_vectors(docs)
-
-    def pack(batch: pa.RecordBatch) -> Iterator[dict]:
-        for piece in pieces(batch.column(2)):
-            part = batch.slice(piece.first, piece.rows)
-            x = pa.array([r.tobytes() for r in pooled(piece, vectors)], pa.binary())
-            yield {"doc_id": part.column(0), "quality": part.column(1), "x": x}
-
-    # max_sample labels are broadcast, and as many rows of SIZE numbers come back.
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")
-    rows = map_batches(sample, pack, f"doc_id {dict(docs.dtypes)['doc_id']}, quality int, x binary").collect()
+    # max_sample labels are broadcast, and as many rows of some 50 numbers come back.
+    rows = made.join(F.broadcast(known), "doc_id").select("doc_id", "quality", "x").collect()
     if len({r["quality"] for r in rows}) < 2:
         return None
     rows.sort(key=lambda r: (hash_order(r["doc_id"]), bytes(r["x"])))  # sums depend on the order
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(-1, SIZE).astype(float)
-    return train(x, np.array([r["quality"] == 1 for r in rows]), vectors)
+    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.float32).reshape(-1, SIZE + WORD_SIZE).astype(float)
+    return train(x, np.array([r["quality"] == 1 for r in rows]))
 
 
 def hash_order(doc_id: int) -> int:
@@ -206,38 +441,30 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_sample:
     are not of both kinds every score is 1, so that a filter rejects nothing. Repeated rows
     each get their row; an empty table gives none. Other columns are not read.
     """
-    model = learn_quality(docs, labels, learn, max_sample)
+    made = features(docs)
+    model = learn_quality(made, labels, learn, max_sample)
 
     def judge(batch: pa.RecordBatch) -> Iterator[dict]:
-        ids, texts = batch.columns
-        for piece in pieces(texts):
-            score = np.ones(piece.rows)
-            if model is not None:
-                score = model.probability(pooled(piece, model.vectors))
-            yield {
-                "doc_id": ids.slice(piece.first, piece.rows),
-                "score": score.astype(float),
-                "predicted": (score >= 0.5).astype(np.int32),
-            }
+        score = np.ones(batch.num_rows)
+        if model is not None and len(score):
+            score = model.probability(unpacked(batch.column(1)))
+        yield {"doc_id": batch.column(0), "score": score.astype(float), "predicted": (score >= 0.5).astype(np.int32)}
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs.select("doc_id", "text"), judge, f"doc_id {kind}, score double, predicted int")
+    return map_batches(made.select("doc_id", "x"), judge, f"doc_id {kind}, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, max_sample: int = MAX_SAMPLE) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``score_quality`` predicts to be good. Nothing but
-    word vectors and the sample is shuffled."""
-    model = learn_quality(docs, labels, learn, max_sample)
+    """The rows of ``docs``, all columns, that ``score_quality`` predicts to be good: those whose
+    text is none of the rejected ones."""
+    made = features(docs)
+    model = learn_quality(made, labels, learn, max_sample)
     if model is None:
         return docs
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for piece in pieces(batch.column(at)):
-                good = model.probability(pooled(piece, model.vectors)) >= 0.5
-                keep[piece.first : piece.first + piece.rows] = good
-            yield batch.filter(pa.array(keep))
+    def reject(batch: pa.RecordBatch) -> Iterator[dict]:
+        if batch.num_rows:
+            yield {TEXT_KEY: batch.column(0).filter(pa.array(model.probability(unpacked(batch.column(1))) < 0.5))}
 
-    return docs.mapInArrow(run, docs.schema)
+    rejected = map_batches(made.select(TEXT_KEY, "x"), reject, f"{TEXT_KEY} long").distinct()
+    return docs.withColumn(TEXT_KEY, text_key()).join(rejected, TEXT_KEY, "left_anti").select(*docs.columns)

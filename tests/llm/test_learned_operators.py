@@ -158,3 +158,34 @@ def test_context_vectors_count_the_neighbours():
                 if i != j:
                     expected[keys[i]] += index[keys[j]]
     assert (sums == expected).all()
+
+
+def test_quality_gives_every_word_its_own_vector(spark):
+    """Words of one shape and one letter bucket, which only their neighbours tell apart; common or not, copies or not."""
+    wide = next(pieces(pa.array([" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(4000))])))
+    names = bytes(wide.data).decode().split()
+    keys = quality.word_keys(wide)[0]
+    same = [names[i] for i in np.flatnonzero(keys == np.bincount(keys).argmax())[:6]]
+    draw = random.Random(6)
+    texts = [f"{' '.join(draw.choices(same[i % 2 * 3 :][:3], k=12))} {' '.join(draw.choices(names, k=2))}" for i in range(60)]
+    texts += [texts[0]] * 9 + ["alone", "", None, "same same " * 70]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+
+    sums: dict[int, np.ndarray] = {}
+    parts = [quality.word_hashes(next(pieces(pa.array([t or ""])))) for t in texts]
+    for hashes, _ in parts:
+        vectors = quality.signs(hashes).astype(int)
+        for i, h in enumerate(hashes.tolist()):
+            around = [vectors[j] for j in range(max(0, i - 2), min(len(hashes), i + 3)) if j != i]
+            sums[h] = sums.get(h, np.zeros(quality.WORD_SIZE, int)) + sum(around, np.zeros(quality.WORD_SIZE, int))
+    unit = {h: quality.unit(v[None], np.array([h]))[0].astype(int) for h, v in sums.items()}
+    wanted = [sum(unit[h] for h in hashes.tolist()) / len(hashes) / quality.UNIT if len(hashes) else np.zeros(quality.WORD_SIZE) for hashes, _ in parts]
+    for share in (1, 40, quality.COMMON):  # no word is common, some are, many are
+        rows = {r.doc_id: np.frombuffer(bytes(r.x), np.float32) for r in quality.features(docs.repartition(3), share).collect()}
+        assert len(rows) == len(texts)
+        assert all(np.allclose(rows[i][quality.SIZE :], wanted[i], atol=1e-6) for i in rows)
+    apart = np.array([rows[i] for i in range(60)])
+    assert np.ptp(np.abs(apart[0::2, quality.SIZE :].mean(0) - apart[1::2, quality.SIZE :].mean(0))) > 0.1
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], LABELS)
+    scored = {r.doc_id: r.predicted for r in quality.score_quality(docs, labels, F.lit(True)).collect()}
+    assert [scored[i] for i in range(40, 60)] == [i % 2 for i in range(40, 60)]
