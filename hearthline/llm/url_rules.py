@@ -25,7 +25,6 @@ FIXED_RULES = (
     ("com/de/", "block"),
 )
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.6
-MAX_TOKENS = 3
 MAX_LABELLED = 200_000
 BAD = "=bad"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,11 +69,10 @@ def mine_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """Rules from rows of url and bad: tokens, confidence, support, index_token (the rarest).
 
-    Rules of more than ``max_tokens`` tokens are left out. Without rows there are no rules.
+    Rules of any length are kept. Without rows there are no rules.
     """
     spark = labelled.sparkSession
     baskets = labelled.select(
@@ -85,7 +83,7 @@ def mine_rules(
         return spark.createDataFrame([], "tokens array<string>, confidence double, support double, index_token string")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.filter(
-        (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.size("antecedent") <= max_tokens)
+        (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD)
     ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     indexed = (
@@ -98,14 +96,17 @@ def mine_rules(
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The most confident rule of every distinct url that has one: url, mined_rule, confidence."""
+    """The most confident rule of every distinct url that has one: url, mined_rule, confidence.
+
+    Of equals the one with most support, then the shortest: a rule never hides a part of it that says as much.
+    """
     tokens = urls.select("url").filter("url IS NOT NULL").distinct().withColumn("has", url_tokens(F.col("url")))
     return (
         tokens.withColumn("index_token", F.explode("has"))
         .join(rules, "index_token")
         .filter(F.size(F.array_except("tokens", "has")) == 0)
         .groupBy("url")
-        .agg(F.max(F.struct("confidence", "support", F.array_join("tokens", " ").alias("mined_rule"))).alias("best"))
+        .agg(F.max(F.struct("confidence", "support", -F.size("tokens"), F.array_join("tokens", " ").alias("mined_rule"))).alias("best"))
         .select("url", "best.mined_rule", "best.confidence")
     )
 

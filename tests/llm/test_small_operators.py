@@ -266,3 +266,20 @@ def test_mined_rules_block_what_they_cover(spark):
     best = {tuple(r.tokens): (r.confidence, r.support) for r in rules.collect()}
     assert best["p:x",] == (1.0, 0.75) and best["h:a",] == (0.75, 0.75) and ("p:y",) not in best
     assert url_rules.filter_urls(spark.createDataFrame([], PAGES), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_a_rule_of_four_tokens_blocks(spark):
+    """Bad only where all four parts stand together; each three of them are good more often than bad."""
+    parts = ["http://a{}.net/", "b{}/", "c{}/", "d{}"]
+    pages, labels = [], []
+    for i in range(200):
+        off = i % 5  # four in five lack one part
+        pages.append((i, "".join(x.format("x" if off == k + 1 else "") for k, x in enumerate(parts)), ""))
+        labels.append((i, int(off > 0), 0))
+    pages.append((1000, "http://a.net/b/c/d", ""))  # not labelled
+    found = url_rules.filter_urls(
+        spark.createDataFrame(pages, PAGES), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    ).collect()
+    assert {r.page_id: r.verdict for r in found} == {i: "block" if i % 5 == 0 else "allow" for i, _, _ in pages}
+    # "h:net" is in every url and adds nothing: the shorter rule is named.
+    assert {r.mined_rule for r in found if r.mined_rule} == {"h:a p:b p:c p:d"}
