@@ -481,7 +481,7 @@ _LATE_PERCENT = 5
 
 
 def _ordered_files(spark: SparkSession, sf_dir: str) -> tuple[list[str], StructType]:
-    """Events by time in four files, and the first of them (by time) once more in a fifth."""
+    """Events by time in four folders, and the first of them (by time) once more in a fifth."""
     events, folder = _table(spark, sf_dir, "events"), scratch_path(spark, "ordered")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     low, high = events.agg(F.min(at), F.max(at)).first()
@@ -491,16 +491,16 @@ def _ordered_files(spark: SparkSession, sf_dir: str) -> tuple[list[str], StructT
     paths = []
     for number, rows in enumerate([*parts, at <= late]):
         paths.append(f"{folder}/{number}")
-        events.filter(rows).coalesce(1).write.parquet(paths[-1])
+        events.filter(rows).write.parquet(paths[-1])
     return paths, events.schema
 
 
 def _restarted(spark: SparkSession, sf_dir: str, output_mode: str, write) -> None:
-    """The ordered files through one checkpoint, the query stopped and started again for each."""
+    """The ordered folders through one checkpoint, the query stopped and started again for each."""
     paths, schema = _ordered_files(spark, sf_dir)
     source, checkpoint = scratch_path(spark, "source"), scratch_path(spark, "checkpoint")
     for path in paths:
-        spark.read.schema(schema).parquet(path).coalesce(1).write.mode("append").parquet(source)
+        spark.read.schema(schema).parquet(path).write.mode("append").parquet(source)
         stream = event_stream(spark, "parquet", path=source, schema=schema)
         totals = flatten_window(city_totals(event_messages(stream)))
         drain(for_each_batch(totals, write, checkpoint, output_mode, ONCE))

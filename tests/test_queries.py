@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from hearthline.plans import acceptance
 from hearthline.plans.acceptance import QUERIES
 from tests.conftest import plan
 
@@ -51,3 +52,19 @@ def test_every_oracle_has_its_query():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_parts_of_the_restarted_streams_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    sf_dir, roots = str(tmp_path / "tables"), str(tmp_path / "scratch")
+    spark.read.parquet(f"{TABLES}/events.parquet").repartition(4).write.parquet(f"{sf_dir}/events.parquet")
+    monkeypatch.setattr(acceptance, "scratch_path", lambda spark, name: f"{roots}/{name}")
+    # As if the small files were large: one task for each.
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        acceptance._restarted(spark, sf_dir, "complete", lambda batch, _: batch.write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    parts = [len(list(Path(roots, "ordered", str(n)).glob("part-*"))) for n in range(4)]
+    assert min(parts) > 1
+    assert len(list(Path(roots, "source").glob("part-*"))) >= sum(parts)
