@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.llm.collocations import collocations
 from hearthline.llm.decontaminate import find_leaks
 from hearthline.llm.language import identify_languages
 from hearthline.llm.mixing import mix_sources
@@ -15,9 +16,11 @@ from hearthline.llm.quality import score_quality
 from hearthline.llm.quality_rules import quality_rules
 from hearthline.llm.sharding import assign_shards
 from hearthline.llm.sql import ORACLES
+from hearthline.llm.top_k import exact_top_k
 from hearthline.llm.toxicity import score_toxicity
 from hearthline.llm.url_rules import filter_urls
 from hearthline.llm.warc import read_warc, write_warc
+from hearthline.llm.whitening import whiten
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -89,6 +92,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository, beside __spark_entry__.py
 
@@ -106,5 +121,8 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_ngram_join": op9_ngram_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_top_k": op13_top_k,
     "pipeline": pipeline,
 }

@@ -85,4 +85,37 @@ WITH RECURSIVE worded AS (
 ), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least USING (doc_id)"""
 
-ORACLES = {"op4_mix_sources": MIX, "op7_warc": WARC, "op9_ngram_join": JOIN}
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY 1
+), sized AS (SELECT lang, w, unnest([1, 2, 3]) AS size FROM worded
+), grams AS (SELECT lang, size, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase FROM sized
+), counts AS (SELECT lang, phrase, any_value(size) AS size, count(*) AS f FROM grams GROUP BY 1, 2 HAVING count(*) >= 10
+), phrases AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1
+), cuts AS (SELECT *, unnest(range(1, size)) AS k FROM phrases
+), scored AS (
+    SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM phrases WHERE size = 3
+), covered AS (SELECT lang, phrase, max(a) AS most FROM longer GROUP BY 1, 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))::INTEGER AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN covered USING (lang, phrase) JOIN totals USING (lang)
+WHERE coalesce(100 * most < 50 * a, TRUE) QUALIFY rank <= 2000"""
+
+TOP_K = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score,
+       row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INTEGER AS rank
+FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 QUALIFY rank <= 20"""
+
+ORACLES = {"op12_collocations": COLLOCATIONS, "op13_top_k": TOP_K, "op4_mix_sources": MIX, "op7_warc": WARC, "op9_ngram_join": JOIN}

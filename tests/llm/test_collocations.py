@@ -1,0 +1,165 @@
+"""Collocations against plain Python, and the guarantee of the summaries."""
+
+import collections
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from hearthline.llm import collocations as module
+from hearthline.llm.collocations import Summary, collocations, piece_grams, piece_words
+from hearthline.llm.tokens import LOWER, pieces
+
+# Columns with the names of results, which the operator may not read.
+DOCS = "doc_id long, text string, lang string, phrase string, score string, n string, f string, part string"
+UPPER_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, g, "x", "x", "x", "x", "x") for i, (t, g) in enumerate(rows)], DOCS)
+
+
+def word_pieces(text):
+    cut = re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER_TO_LOWER))
+    return [re.findall(r"[^\x20\x09]+", piece) for piece in cut]
+
+
+def brute(rows, threshold=10, max_words=3, top=2000):
+    f, n = collections.Counter(), collections.Counter()
+    for text, lang in rows:
+        lang = lang or "und" if lang is None else lang
+        for words in word_pieces(text):
+            n[lang] += len(words)
+            for size in range(1, max_words + 1):
+                f.update((lang, *words[i : i + size]) for i in range(len(words) - size + 1))
+    out = collections.defaultdict(list)
+    frequent = {g: a for g, a in f.items() if a >= threshold and len(g) > 2}
+    most = collections.Counter()
+    for (lang, *words), a in frequent.items():
+        for size in range(2, len(words)):
+            for i in range(len(words) - size + 1):
+                part = (lang, *words[i : i + size])
+                most[part] = max(most[part], a)
+    for (lang, *words), a in frequent.items():
+        if 100 * most[(lang, *words)] >= 50 * a:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[(lang, *words[:k])], f[(lang, *words[k:])]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        out[lang].append((-score, -a, " ".join(words).encode(), left, right))
+    return sorted(
+        (lang, rank, phrase.decode(), -a, left, right, n[lang], -score)
+        for lang, found in out.items()
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1)
+    )
+
+
+def mined(spark, rows, **settings):
+    return sorted(map(tuple, collocations(docs_of(spark, rows).repartition(3), **settings).collect()))
+
+
+def sample(seed=1, n=250):
+    draw = random.Random(seed)
+    words = ["New", "york", "The", "of", "Äpfel", "äpfel", "日本", "a-b", "x", "y z", "q\x1f"]
+    rows = [(None, "en"), ("", "en"), ("  \n\t", None), ("...", "de"), ("alone", None), ("New York", "")]
+    while len(rows) < n:
+        text = "".join(
+            draw.choice(words) + draw.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\r\n", "!?", "\x0b"])
+            for _ in range(draw.randrange(60))
+        )
+        rows.append((text, draw.choice(["en", "en", "en", "de", None, "und", ""])))
+    return rows + rows[-5:]  # repeated rows
+
+
+def test_collocations_are_those_of_plain_python(spark):
+    rows = sample()
+    got = mined(spark, rows)
+    assert got == brute(rows)
+    assert {r[0] for r in got} >= {"en", "de", "und"}
+
+
+@pytest.mark.parametrize("bits", [3, 10, 20])
+def test_a_full_bitmap_changes_nothing(spark, bits):
+    rows = sample(2, 120)
+    assert mined(spark, rows, bits=bits) == brute(rows)
+
+
+def test_small_buffers_and_other_limits_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(module, "FLUSH", 300)
+    rows = sample(3, 120)
+    assert mined(spark, rows, threshold=4, top=7) == brute(rows, 4, top=7)
+    assert mined(spark, rows, max_words=2) == brute(rows, max_words=2)
+    assert mined(spark, rows, max_words=4, threshold=3) == brute(rows, 3, 4)
+
+
+def test_a_very_long_text_with_one_hot_phrase(spark):
+    text = " ".join(f"hot phrase w{i % 5000}" for i in range(60_000))
+    rows = [(text, "en"), (None, None), ("hot phrase " * 40_000, "en")]
+    assert mined(spark, rows) == brute(rows)
+
+
+def test_ties_fall_to_the_bytes_of_the_phrase(spark):
+    rows = [(f"{a} {a}{a}.", "en") for a in ("b", "ä", "Z", "日", "🂡", "￮") for _ in range(10)]
+    got = mined(spark, rows)
+    assert got == brute(rows)
+    assert len({r[-1] for r in got}) == 1
+
+
+def test_nothing_to_mine(spark):
+    for rows in ([], [(None, None)], [("a b " * 3, "en")], [("one", "en")] * 30):
+        assert mined(spark, rows) == []
+
+
+def test_words_end_at_cuts_and_texts():
+    texts = pa.array(["a b.c d", None, "e", "f;g h i", "", ",", "j k"])
+    for size in (1, 1 << 20):
+        got = collections.Counter()
+        for piece in pieces(texts, size):
+            piece = piece._replace(data=LOWER[piece.data])
+            found, _ = piece_words(piece)
+            for grams in piece_grams(piece, np.zeros(piece.rows, np.uint64), 3):
+                got.update(module._phrases(piece, found, grams, np.arange(len(grams.first))).to_pylist())
+        expected = collections.Counter()
+        for text in texts.to_pylist():
+            for words in word_pieces(text):
+                for n in (1, 2, 3):
+                    expected.update(" ".join(words[i : i + n]) for i in range(len(words) - n + 1))
+        assert got == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=40), min_size=1, max_size=12), st.integers(1, 8))
+def test_no_frequent_key_is_lost_however_summaries_are_merged(parts, threshold):
+    true = collections.Counter(x for part in parts for x in part)
+    mass = sum(true.values())
+    capacity = mass // threshold + 1
+
+    def one(part):
+        keys, counts = np.unique(np.array(part, np.uint64), return_counts=True)
+        return Summary(capacity).merge(keys, counts)
+
+    summaries = [one(part) for part in parts]
+    while len(summaries) > 1:  # as a tree
+        a, b, *rest = summaries
+        summaries = [*rest, a.merge(b.keys, b.counts, b.error)]
+    last = summaries[0]
+    assert len(last.keys) <= capacity
+    assert last.error * (capacity + 1) <= mass
+    for key, count in zip(last.keys.tolist(), last.counts.tolist(), strict=True):
+        assert count <= true[key] <= count + last.error
+    assert {k for k, c in true.items() if c >= threshold} <= set(last.frequent(threshold).tolist())
+
+
+def test_capacity_is_needed_and_summaries_do_drop():
+    """More distinct keys than the capacity: the rare ones go, the frequent one stays."""
+    keys = np.arange(1, 1000, dtype=np.uint64)
+    counts = np.ones(999, np.int64)
+    counts[500] = 50
+    found = Summary(1048 // 50 + 1).merge(keys, counts)
+    assert found.keys.tolist() == [501] and found.error == 1
