@@ -25,7 +25,7 @@ from hearthline.scratch import materialize
 MAX_WORDS, THRESHOLD, TOP = 3, 10, 2000
 COVERED_PERCENT = 50  # of a phrase's occurrences inside one longer phrase
 PART_BYTES = 8 << 20  # of text for each hash partition
-FLUSH = 1 << 22  # grams that a task collects before it sorts and counts them
+FLUSH = 1 << 21  # grams that a task collects before it sorts and counts them
 BITMAP_BITS = 27  # 2^27 bits, 16 MB; more keep the second pass selective on a larger corpus
 NO_LANGUAGE = "und"
 
@@ -277,7 +277,7 @@ def marked_counts(docs: DataFrame, bitmap: np.ndarray, max_words: int, bits: int
                     owners = names.take(pa.array(piece.first + grams.text[one]))
                     found.append((grams.key[one], grams.check[one], count, owners, _phrases(piece, spans, grams, one)))
                     n += len(one)
-                if n >= FLUSH >> 2:
+                if n >= FLUSH >> 4:  # Spark adds up what a task sends
                     yield from merged(found)
                     found, n = [], 0
         if found:
