@@ -9,6 +9,9 @@ passage's block maxima over essential terms, with the most that the others may a
 rules most blocks out, the same sum for each segment most of the rest, and what remains is
 scored in full. A retrieved item counts as leaked if both its question and its answer
 (its last sentence or sentences) have most of their word trigrams in the document.
+
+A large benchmark is indexed a part at a time. How common a word is, and how long a segment,
+is counted over the whole benchmark, so scores do not depend on the parts.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.tokens import LOWER, Piece, mix, pieces, span_hashes, words
+from hearthline.scratch import drop, materialize
 
 PASSAGE = 128
 SHARE = 0.5  # of a segment's own score
@@ -33,6 +37,7 @@ ANSWER_WORDS = 5
 MIN_WORDS = 5  # shorter items can't be told from ordinary text
 BLOCK = 16  # segments
 INDEX_ITEMS, INDEX_BYTES = 20_000, 8 << 20  # about what one index holds at most
+FULL_SCORES = 1 << 21  # terms of pairs that are scored at once
 K1, B = 1.2, 0.75
 _GRAM = np.uint64(0xD1342543DE82EF95)
 
@@ -63,11 +68,26 @@ class Index(NamedTuple):
     by_segment: Postings  # essential terms
     segment_rest: np.ndarray
     threshold: np.ndarray
-    whole: list[tuple[np.ndarray, np.ndarray]]  # terms and impacts of each segment
+    by_term: Postings  # terms and impacts of each segment
+    own_score: np.ndarray  # of each segment
     item: np.ndarray  # of each segment
     item_ids: list
     parts: list[list[tuple[int, np.ndarray]]]  # size and hashes of each item's question's and answer's runs
 
+    @property
+    def whole(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        at = self.by_term.starts
+        return [(self.by_term.target[a:b], self.by_term.value[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+class Statistics(NamedTuple):
+    """Of all segments of a benchmark, for the words of some of its items."""
+
+    segments: int
+    mean_words: float
+    words: np.ndarray  # sorted hashes
+    with_word: np.ndarray  # segments
+
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of the distinct runs of ``size`` words."""
@@ -115,29 +135,46 @@ def _postings(n_terms: int, rows: list[tuple[int, int, float]]) -> Postings:
     )
 
 
-def build_index(items: Sequence[tuple[object, str | None]], passage: int = PASSAGE, share: float = SHARE) -> Index | None:
-    """Index of (id, text); None if no item has enough words."""
+def item_segments(text_words: np.ndarray, passage: int) -> list[np.ndarray]:
+    """An item's words in segments of at most half a passage; none if it is too short."""
+    if len(text_words) < MIN_WORDS:
+        return []
+    return np.array_split(text_words, -(-len(text_words) // (passage // 2)))
+
+
+def segment_statistics(segments: Sequence[np.ndarray]) -> Statistics:
+    found, counts = np.unique(np.concatenate([np.unique(s) for s in segments]), return_counts=True)
+    return Statistics(len(segments), sum(map(len, segments)) / len(segments), found, counts)
+
+
+def build_index(
+    items: Sequence[tuple[object, str | None]],
+    passage: int = PASSAGE,
+    share: float = SHARE,
+    statistics: Statistics | None = None,
+) -> Index | None:
+    """Index of (id, text); None if no item has enough words. ``statistics`` default to those of these items."""
     ids, parts, segments, owner = [], [], [], []
     texts = [(i, t) for i, t in items if t]
     for (item_id, text), found in zip(texts, all_words([t for _, t in texts]), strict=True):
-        if len(found) < MIN_WORDS:
+        cut = item_segments(found, passage)
+        if not cut:
             continue
-        n = -(-len(found) // (passage // 2))
-        segments += np.array_split(found, n)
-        owner += [len(ids)] * n
+        segments += cut
+        owner += [len(ids)] * len(cut)
         ids.append(item_id)
         halves = [(max(1, min(GRAM_WORDS, len(w))), w) for w in all_words(question_and_answer(text))]
         parts.append([(size, grams(w, size)) for size, w in halves])
     if not ids:
         return None
+    n_segments, mean, known, with_word = statistics or segment_statistics(segments)
     vocabulary = np.unique(np.concatenate(segments))
-    counted = [np.unique(np.searchsorted(vocabulary, s), return_counts=True) for s in segments]
-    df = np.bincount(np.concatenate([t for t, _ in counted]), minlength=len(vocabulary))
-    idf = np.log1p((len(segments) - df + 0.5) / (df + 0.5))
-    mean = np.mean([len(s) for s in segments])
+    df = with_word[np.searchsorted(known, vocabulary)]
+    idf = np.log1p((n_segments - df + 0.5) / (df + 0.5))
     whole, threshold, rest, rows = [], [], [], []
-    for s, (terms, tf) in enumerate(counted):
-        impact = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segments[s]) / mean))
+    for s, segment in enumerate(segments):
+        terms, tf = np.unique(np.searchsorted(vocabulary, segment), return_counts=True)
+        impact = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segment) / mean))
         whole.append((terms, impact))
         threshold.append(share * impact.sum())
         order = np.lexsort((terms, -impact))
@@ -158,7 +195,12 @@ def build_index(items: Sequence[tuple[object, str | None]], passage: int = PASSA
         _postings(len(vocabulary), rows),
         np.array(rest),
         np.array(threshold),
-        whole,
+        Postings(
+            np.concatenate([[0], np.cumsum([len(t) for t, _ in whole])]),
+            np.concatenate([t for t, _ in whole]),
+            np.concatenate([v for _, v in whole]),
+        ),
+        np.array([v.sum() for _, v in whole]),
         np.array(owner),
         ids,
         parts,
@@ -200,19 +242,30 @@ def retrieve(index: Index, hashes: np.ndarray, offsets: np.ndarray, passage: int
     kept = np.isin(query[row] * n_blocks + segment // BLOCK, key)
     key, bound = _sums((query[row] * n_segments + segment)[kept], value[kept])
     key = key[bound + index.segment_rest[key % n_segments] >= index.threshold[key % n_segments] - slack]
-    found = []
-    for k in key.tolist():
-        passage_id, s = divmod(k, n_segments)
-        text = int(np.searchsorted(first, passage_id, "right")) - 1
-        low = offsets[text] + (passage_id - first[text]) * step
-        high = min(low + passage, offsets[text + 1])
-        here = np.zeros(n_terms, bool)
-        here[term[low:high][known[low:high]]] = True
-        terms, impact = index.whole[s]
-        score = float(impact[here[terms]].sum())
-        if score >= index.threshold[s] - slack:
-            found.append((text, s, score))
-    return found
+    passage_id, s = key // n_segments, key % n_segments
+    # The words, essential or not, of the passages that are left.
+    wanted = np.zeros(int(first[-1]) + 1, bool)
+    wanted[passage_id] = True
+    at = np.flatnonzero(known)
+    owner = np.searchsorted(offsets, at, "right") - 1
+    part = first[owner] + (at - offsets[owner]) // step
+    earlier = (part > first[owner]) & wanted[part - 1]
+    here = wanted[part]
+    has = np.unique(np.concatenate([(part * n_terms + term[at])[here], ((part - 1) * n_terms + term[at])[earlier]]))
+    score = np.zeros(len(key))
+    size = np.cumsum(np.diff(index.by_term.starts)[s])
+    low = 0
+    while low < len(key):
+        before = size[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(size, before + FULL_SCORES, "right")))
+        row, of_segment, impact = index.by_term.expand(s[low:high])
+        asked = passage_id[low:high][row] * n_terms + of_segment
+        there = has[np.minimum(np.searchsorted(has, asked), len(has) - 1)] == asked
+        score[low:high] = np.bincount(row[there], impact[there], high - low)
+        low = high
+    found = np.flatnonzero(score >= index.threshold[s] - slack)
+    text = np.searchsorted(first, passage_id[found], "right") - 1
+    return list(zip(text.tolist(), s[found].tolist(), score[found].tolist(), strict=True))
 
 
 def leaks(index: Index, piece: Piece, overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
@@ -221,7 +274,7 @@ def leaks(index: Index, piece: Piece, overlap: float = OVERLAP) -> list[tuple[in
     best: dict[tuple[int, int], float] = {}
     for text, s, score in retrieve(index, hashes, offsets):
         key = (text, int(index.item[s]))
-        best[key] = max(best.get(key, 0.0), score / float(index.whole[s][1].sum()))
+        best[key] = max(best.get(key, 0.0), score / float(index.own_score[s]))
     out, of, seen = [], None, {}
     for (text, item), score in sorted(best.items()):
         if of != text:
@@ -237,37 +290,84 @@ def leaks(index: Index, piece: Piece, overlap: float = OVERLAP) -> list[tuple[in
     return out
 
 
-def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """One index after another, items dealt to them by a hash of their text.
-
-    So many that one holds about INDEX_ITEMS items and INDEX_BYTES of text at most.
+def _benchmark_statistics(items: DataFrame, part: DataFrame, passage: int) -> Statistics:
+    """Of the segments of all ``items``, for the words of ``part``, which reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segments = [s for found in all_words(batch.column(0).to_pylist()) for s in item_segments(found, passage)]
+            if segments:
+                word = np.concatenate([np.unique(s) for s in segments])
+                # A word of null has the number of segments and of words.
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "word": pa.array([None, *word.view(np.int64).tolist()], pa.int64()),
+                        "n": np.append(len(segments), np.ones(len(word), np.int64)),
+                        "words": np.append(sum(map(len, segments)), np.zeros(len(word), np.int64)),
+                    }
+                )
+
+    counts = [
+        x.select("text").mapInArrow(count, "word long, n long, words long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+        for x in (items, part)
+    ]
+    known = counts[0].join(counts[1].select(F.col("word").alias("mine")), F.col("word").eqNullSafe(F.col("mine")))
+    rows = known.select("word", "n", "words").collect()
+    total = next(r for r in rows if r["word"] is None)
+    words_of = np.array([r["word"] for r in rows if r["word"] is not None], np.int64).view(np.uint64)
+    with_word = np.array([r["n"] for r in rows if r["word"] is not None], np.int64)
+    order = np.argsort(words_of)
+    return Statistics(total["n"], total["words"] / total["n"], words_of[order], with_word[order])
+
+
+def indexes(benchmark: DataFrame, index_items: int, index_bytes: int) -> tuple[int, Iterator[Index]]:
+    """How many indexes there are, and one after another; their items are named by the digest of their text.
+
+    Distinct texts are dealt to them by a hash, so many that one holds about ``index_items``
+    items and ``index_bytes`` of text at most.
     """
-    items = benchmark.select(id_col, text_col).filter(F.col(text_col).isNotNull())
-    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()
-    n_blocks = max(1, -(-count // INDEX_ITEMS), -(-size // INDEX_BYTES))
-    for i in range(n_blocks):
-        block = items.filter(F.pmod(F.xxhash64(text_col), F.lit(n_blocks)) == i).collect()
-        index = build_index(sorted(((r[0], r[1]) for r in block), key=str))
-        if index is not None:
-            yield index
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    items = benchmark.select("text").filter(F.col("text").isNotNull()).distinct()
+    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_blocks = max(1, -(-count // index_items), -(-size // index_bytes))
+
+    def build() -> Iterator[Index]:
+        for i in range(n_blocks):
+            part = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == i)
+            rows = sorted((r[0], r[1]) for r in part.select(_digest(), "text").collect())
+            if all(len(found) < MIN_WORDS for found in all_words([t for _, t in rows])):
+                continue
+            statistics = _benchmark_statistics(items, part, PASSAGE) if n_blocks > 1 else None
+            yield build_index(rows, statistics=statistics)
+
+    return n_blocks, build()
+
+
+def _digest():
+    return F.sha2("text", 256).alias("item")
+
+
+def find_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    index_items: int = INDEX_ITEMS,
+    index_bytes: int = INDEX_BYTES,
+) -> DataFrame:
     """Leaked items of every row: doc_id, item_id, score, question_overlap, answer_overlap.
 
     Score is the best passage's share of the score that the item's segment gives its own text.
     Texts are read whole, whatever their length. Null and empty texts leak nothing, items that
     are null or shorter than MIN_WORDS words are never leaked, items with equal texts are each
     reported, and so is every repeated row. Without documents or items there are no rows. Other
-    columns are not read. Items are indexed a bounded number at a time, every document against
-    every index; an index is what a task holds besides its texts.
+    columns are not read. An index is what the driver and a task hold besides texts; where there
+    are more, the leaks of one are written before the next is built, and every document is read
+    for each.
     """
-    kind, item_kind = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)["item_id"]
-    schema = f"doc_id {kind}, item_id {item_kind}, score double, question_overlap double, answer_overlap double"
+    kind = dict(docs.dtypes)[id_col]
+    schema = f"doc_id {kind}, item string, score double, question_overlap double, answer_overlap double"
 
     def search(index: Index):
-        item_type = docs.sparkSession.createDataFrame([], f"x {item_kind}").toArrow().schema.field(0).type
-
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in pieces(pc.utf8_lower(batch.column(1))):
@@ -275,7 +375,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     rows = pa.array([piece.first + f[0] for f in found], pa.int64())
                     columns = {
                         "doc_id": batch.column(0).take(rows),
-                        "item_id": pa.array([index.item_ids[f[1]] for f in found], item_type),
+                        "item": pa.array([index.item_ids[f[1]] for f in found], pa.string()),
                     }
                     for k, name in enumerate(("score", "question_overlap", "answer_overlap"), 2):
                         columns[name] = pa.array([f[k] for f in found], pa.float64())
@@ -283,15 +383,30 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
         return docs.select(id_col, text_col).mapInArrow(run, schema)
 
+    n_blocks, built = indexes(benchmark, index_items, index_bytes)
     result = None
-    for index in indexes(benchmark):
+    for index in built:
         found = search(index)
+        if n_blocks > 1:
+            found = materialize(found, "leaks")
         result = found if result is None else result.union(found)
-    return result if result is not None else docs.sparkSession.createDataFrame([], schema)
-
-
-def remove_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that leak no item. Nothing is shuffled."""
+    if result is None:
+        result = docs.sparkSession.createDataFrame([], schema)
+    named = benchmark.select("item_id", _digest())
+    return result.join(named, "item").select("doc_id", "item_id", "score", "question_overlap", "answer_overlap")
+
+
+def remove_leaking(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    index_items: int = INDEX_ITEMS,
+    index_bytes: int = INDEX_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that leak no item. Nothing is shuffled.
+
+    Where there is more than one index, what one leaves is written before the next is built.
+    """
     at = docs.columns.index(text_col)
 
     def without(index: Index):
@@ -304,6 +419,13 @@ def remove_leaking(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
 
         return run
 
-    for index in indexes(benchmark):
-        docs = docs.mapInArrow(without(index), docs.schema)
-    return docs
+    n_blocks, built = indexes(benchmark, index_items, index_bytes)
+    kept = docs
+    for index in built:
+        fewer = kept.mapInArrow(without(index), docs.schema)
+        if n_blocks > 1:
+            fewer = materialize(fewer, "without-leaks")
+            if kept is not docs:
+                drop(kept)
+        kept = fewer
+    return kept

@@ -142,6 +142,33 @@ def test_leaks_are_found_wherever_they_stand_and_clean_texts_left(spark):
     assert decontaminate.remove_leaking(docs, benchmark.limit(0)).count() == docs.count()
 
 
+def test_parts_of_a_benchmark_find_what_one_index_finds(spark):
+    """Scores too: how common a word is does not depend on the part. Items of equal texts each count."""
+    draw = random.Random(9)
+    items, sentence = item_texts(draw, 40)
+    items += items[:3] + [items[5]] * 20
+    rows = [(i, " ".join([sentence(30), items[i % 40], sentence(20), items[(i * 7) % 40]])) for i in range(60)]
+    rows += [(100 + i, sentence(60)) for i in range(20)] + [(200, None)]
+    benchmark = spark.createDataFrame([*enumerate(items), (900, None), (901, "too short")], "item_id long, text string")
+    docs = docs_of(spark, rows)
+
+    def found(**limits):
+        return sorted(map(tuple, decontaminate.find_leaks(docs, benchmark, **limits).collect()))
+
+    whole = found()
+    assert {(i, k) for i, k, *_ in whole} == {
+        (i, k) for i in range(60) for k, text in enumerate(items) if text in (items[i % 40], items[(i * 7) % 40])
+    }
+    size = sum(map(len, set(items)))
+    for limits in ({"index_items": 14}, {"index_bytes": size // 3 + 1}, {"index_bytes": size // 10}):
+        parts = found(**limits)
+        assert [r[:2] for r in parts] == [r[:2] for r in whole]
+        for a, b in zip(parts, whole, strict=True):
+            assert a[2:] == pytest.approx(b[2:], abs=1e-12)
+        kept = decontaminate.remove_leaking(docs, benchmark, **limits)
+        assert {r.doc_id for r in kept.collect()} == {*range(100, 120), 200}
+
+
 def test_retrieval_is_that_of_scoring_everything():
     """Block-max pruning drops no passage and segment that reaches the threshold."""
     draw = random.Random(8)
