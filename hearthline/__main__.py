@@ -21,6 +21,7 @@ from hearthline.operators.reports import table_sample
 from hearthline.plans.load import (
     curated_sample,
     listing_table,
+    load_new,
     load_store,
     load_table,
     stage_archive,
@@ -31,6 +32,7 @@ from hearthline.scratch import clear_scratch
 from hearthline.session import build_session
 from hearthline.sources.archive import NoInputError
 from hearthline.sources.events import event_stream, kafka_options
+from hearthline.sources.ledger import LoadLedger
 from hearthline.sources.tables import scan_table
 from hearthline.streaming.archive import archive_stream
 from hearthline.streaming.queries import city_totals, start_query
@@ -65,7 +67,26 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _load_new(spark: SparkSession, args: argparse.Namespace) -> int:
+    """What the ledger does not name, whatever its day unless days are given."""
+    if args.format:
+        print("--ledger goes with the catalog table", file=sys.stderr)
+        return 1
+    table = listing_table(spark, args.namespace, args.table, args.buckets)
+    ledger, total = LoadLedger(spark, args.ledger), 0
+    while count := load_new(
+        spark, args.root, ledger, table, args.layout, args.policy, args.start, args.end, args.max_files, args.rejected
+    ):
+        total += count
+        if not args.max_files:
+            break
+    print(f"{total} new files")
+    return 0
+
+
 def run_load(spark: SparkSession, args: argparse.Namespace) -> int:
+    if args.ledger:
+        return _load_new(spark, args)
     start = None if args.all else args.start or datetime.now(timezone.utc).date()
     try:
         staged = stage_archive(spark, args.root, start, args.end, args.layout, args.fallback)
@@ -178,6 +199,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--buckets", type=int, help="buckets of the table, default one per shuffle partition")
     load.add_argument("--policy", default="record", choices=("record", "file"))
     load.add_argument("--rejected", help="folder for rejected records with their text and reason")
+    load.add_argument("--ledger", help="table of loaded files: load those it does not name, and name them")
+    load.add_argument("--max-files", type=int, help="with --ledger, so many files at a time")
     table_command("check", run_check)
     train = table_command("predict", run_predict)
     train.add_argument("--output", help="folder for the predictions")

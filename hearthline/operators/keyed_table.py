@@ -77,6 +77,24 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.table).select(*(F.col(f"`{c}`") for c in self.schema.names))
 
+    def lookup(self, keys: DataFrame, max_keys: int = 10_000) -> DataFrame:
+        """The rows of some keys: ``max_keys`` distinct ones at most, with the table's key columns.
+
+        Only their buckets' partitions are listed and read, and of these only row groups that
+        may hold them, as a bucket's files are sorted by key.
+        """
+        names = [f"`{k}`" for k in self.keys]
+        wanted = keys.select(*names).dropna().distinct()
+        found = wanted.withColumn(BUCKET, self._bucket()).limit(max_keys + 1).collect()
+        if len(found) > max_keys:
+            raise ValueError(f"more than {max_keys} keys; join with read() instead")
+        rows = self.spark.table(self.table).filter(F.col(BUCKET).isin(sorted({row[BUCKET] for row in found})))
+        for key, name in zip(self.keys, names, strict=True):
+            rows = rows.filter(F.col(name).isin([row[key] for row in found]))
+        if len(names) > 1:
+            rows = rows.join(wanted, self.keys, "left_semi")
+        return rows.select(*(F.col(f"`{c}`") for c in self.schema.names))
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in self.keys)), F.lit(self.buckets)).cast("int")
 

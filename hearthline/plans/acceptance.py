@@ -7,6 +7,7 @@ sides derive some the same way.
 
 from __future__ import annotations
 
+import gzip
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -27,6 +28,7 @@ from hearthline.operators.curate import curate
 from hearthline.operators.features import feature_stages
 from hearthline.operators.keyed_table import KeyedTable
 from hearthline.operators.latest import latest_per_key, merge_latest
+from hearthline.operators.merge_table import MergeTable
 from hearthline.operators.model import fit_model, predict, regression_metrics
 from hearthline.operators.quarantine import bad_records, good_records, load_summary, rejected_records
 from hearthline.operators.readiness import readiness
@@ -37,14 +39,27 @@ from hearthline.operators.reports import (
     row_count,
     table_sample,
 )
-from hearthline.operators.windows import CITY_MEASURES, flatten_window
+from hearthline.operators.windows import CITY_MEASURES, flatten_window, window_totals
+from hearthline.plans.load import listing_table, load_new, stage_files
 from hearthline.schemas import wire_schema
 from hearthline.scratch import materialize, scratch_path
 from hearthline.sources.archive import scan_archive
 from hearthline.sources.events import event_stream
+from hearthline.sources.files import write_bytes
+from hearthline.sources.ledger import LoadLedger
+from hearthline.sources.listing import list_files
 from hearthline.sources.tables import scan_table
 from hearthline.streaming.archive import archive_batch, archive_stream, write_array_files
-from hearthline.streaming.queries import city_totals, drain, for_each_batch, start_query, upsert_stream
+from hearthline.streaming.late import read_batches, split_late
+from hearthline.streaming.queries import (
+    city_totals,
+    drain,
+    for_each_batch,
+    merge_stream,
+    start_query,
+    upsert_stream,
+)
+from hearthline.streaming.state import open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -354,6 +369,46 @@ def _quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_records(_flawed_archive(spark, sf_dir)).select("zpid", "city")
 
 
+@_register(
+    "load_summary_unreadable",
+    f"""SELECT 3 + count(DISTINCT event_id // {_FILE_SIZE}) AS found, count(DISTINCT event_id // {_FILE_SIZE}) AS processed,
+        3::BIGINT AS failed, count(*)::BIGINT AS loaded, 3::BIGINT AS rejected FROM events""",
+)
+def _load_summary_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good files beside one of zero bytes, a gzip archive that ends too early and one that is not text."""
+    path = scratch_path(spark, "unreadable")
+    events = _table(spark, sf_dir, "events")
+    file = F.floor(F.col("event_id") / _FILE_SIZE).alias("file")
+    messages = events.select(file, encode_payload(*_wire_columns()).alias("value"))
+    files = messages.groupBy("file").agg(json_array(F.collect_list("value")).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/a", compression="gzip")
+    some = messages.orderBy("value").limit(100).agg(json_array(F.collect_list("value")).alias("value")).first()["value"]
+    whole = gzip.compress(some.encode())
+    broken = {"empty.json": b"", "cut.json.gz": whole[: len(whole) // 2], "noise.json": whole}
+    for name, data in broken.items():
+        write_bytes(spark, f"{path}/b/{name}", data)
+    return load_summary(stage_files(spark, list_files(spark, path, "*.{gz,json}")), "file")
+
+
+@_register("load_incremental", f"SELECT {_WIRE_SQL} FROM events")
+def _load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads with files added between, also to the first day; a third finds nothing to read."""
+    path, name = scratch_path(spark, "incremental"), f"acceptance_{uuid.uuid4().hex}"
+    events = _table(spark, sf_dir, "events")
+    ledger = LoadLedger(spark, scratch_path(spark, "ledger"))
+    table = listing_table(spark, name, "listings", location=scratch_path(spark, name))
+    for number in range(3):
+        if number < 2:
+            added = event_messages(events.filter(F.col("event_id") % 2 == number))
+            for day in range(number + 1):
+                rows = added.filter(F.crc32("value") % (number + 1) == day)
+                write_array_files(rows, f"{path}/2024/01/0{day + 1}", 1000)
+        found = load_new(spark, path, ledger, table)
+        if (found > 0) != (number < 2):
+            raise AssertionError(f"load {number} took {found} files")
+    return table.read().drop("timestamp")
+
+
 # --- cleaning -------------------------------------------------------------------------------
 
 
@@ -540,6 +595,46 @@ def _stream_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(latest_per_key(updates, ["window_start", "city"], ["batch"]))
 
 
+@_register(
+    "stream_open_windows",
+    _totals_sql(
+        """time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute'
+           > (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '1 minute'"""
+    ),
+)
+def _stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the append stream has not given out, read from its state."""
+    checkpoint = scratch_path(spark, "checkpoint")
+    totals = flatten_window(city_totals(event_messages(_table_stream(spark, sf_dir, "events"))))
+    drain(start_query(totals, checkpoint, "parquet", "append", ONCE, {"path": scratch_path(spark, "append")}))
+    return _comparable(open_windows(spark, checkpoint))
+
+
+def _split_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The ordered folders through one checkpoint, the first of them once more at the end: on time, and late."""
+    paths, schema = _ordered_files(spark, sf_dir)
+    on_time, late, source, checkpoint = (scratch_path(spark, name) for name in ("on-time", "late", "source", "checkpoint"))
+    for path in paths:
+        spark.read.schema(schema).parquet(path).write.mode("append").parquet(source)
+        stream = event_stream(spark, "parquet", path=source, schema=schema)
+        drain(split_late(parse_events(event_messages(stream)), on_time, late, checkpoint, trigger=ONCE))
+    return on_time, late
+
+
+@_register("stream_late_rows", f"SELECT {_WIRE_SQL.split(', event_type')[0]}, date_trunc('milliseconds', ts) AS event_ts FROM events WHERE {_LATE_SQL}")
+def _stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that come again when the watermark has long passed them."""
+    _, late = _split_stream(spark, sf_dir)
+    return read_batches(spark, late).select("zpid", _ntz("timestamp", "event_ts"))
+
+
+@_register("stream_late_totals", _totals_sql(source=f"(SELECT * FROM events UNION ALL SELECT * FROM events WHERE {_LATE_SQL})"))
+def _stream_late_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows on time and late rows together are all rows."""
+    both = (read_batches(spark, path) for path in _split_stream(spark, sf_dir))
+    return _flat_totals(window_totals(reduce(DataFrame.unionByName, both)))
+
+
 # --- keyed upsert ---------------------------------------------------------------------------
 
 _ORDER = ("o_orderdate", "o_orderkey")
@@ -619,6 +714,63 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _merge_table(spark: SparkSession, schema: StructType) -> MergeTable:
+    return MergeTable(spark, scratch_path(spark, "merge-table"), ["o_custkey"], _ORDER, schema, buckets=8)
+
+
+def _thirds(orders: DataFrame) -> list[DataFrame]:
+    return [orders.filter(F.crc32(F.col("o_orderkey").cast("string")) % 3 == n) for n in range(3)]
+
+
+@_register("upsert_delta", f"SELECT * FROM orders QUALIFY {_NEWEST}")
+def _upsert_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches with a compaction between: base and one delta, merged on read."""
+    orders = _table(spark, sf_dir, "orders")
+    table = _merge_table(spark, orders.schema)
+    for number, batch in enumerate(_thirds(orders)):
+        if number == 2:
+            table.compact()
+        table.upsert(batch)
+    return table.read()
+
+
+@_register("stream_upsert_delta", f"SELECT * FROM orders QUALIFY {_NEWEST}")
+def _stream_upsert_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's batches as deltas, each of them handed over twice."""
+    orders = _table_stream(spark, sf_dir, "orders")
+    table = _merge_table(spark, orders.schema)
+    for checkpoint in ("checkpoint", "checkpoint"):
+        drain(merge_stream(orders, table, scratch_path(spark, checkpoint), ONCE))
+    return table.read()
+
+
+_WANTED_KEYS = "SELECT DISTINCT c_custkey FROM customer WHERE c_custkey % 50 = 0"
+
+
+@_register("table_lookup", f"SELECT * FROM orders WHERE o_custkey IN ({_WANTED_KEYS}) QUALIFY {_NEWEST}")
+def _table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some customers of a keyed table."""
+    orders = _table(spark, sf_dir, "orders")
+    table = _orders_table(spark, orders.schema)
+    table.upsert(orders, _ORDER)
+    return table.lookup(_wanted_customers(spark, sf_dir), max_keys=1_000_000)
+
+
+@_register("table_lookup_delta", f"SELECT * FROM orders WHERE o_custkey IN ({_WANTED_KEYS}) QUALIFY {_NEWEST}")
+def _table_lookup_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a table that merges on read."""
+    orders = _table(spark, sf_dir, "orders")
+    table = _merge_table(spark, orders.schema)
+    for batch in _thirds(orders):
+        table.upsert(batch)
+    return table.lookup(_wanted_customers(spark, sf_dir), max_keys=1_000_000)
+
+
+def _wanted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = _table(spark, sf_dir, "customer")
+    return customer.filter(F.col("c_custkey") % 50 == 0).select(F.col("c_custkey").alias("o_custkey"))
+
+
 # --- reports --------------------------------------------------------------------------------
 
 

@@ -13,8 +13,10 @@ from hearthline.operators.keyed_table import KeyedTable, append_to_store
 from hearthline.operators.latest import latest_per_key
 from hearthline.operators.quarantine import good_records, rejected_records
 from hearthline.schemas import EVENT_TIME, KEY, curated_schema
-from hearthline.scratch import materialize
-from hearthline.sources.archive import MARKS, scan_archive
+from hearthline.scratch import drop, materialize
+from hearthline.sources.archive import MARKS, dated_folders, scan_archive, scan_files, unread_files
+from hearthline.sources.ledger import LoadLedger
+from hearthline.sources.listing import list_files
 
 # Newest event wins; equal times by file, then by position in it.
 LATEST = (EVENT_TIME, "source_file", "record_index")
@@ -43,11 +45,58 @@ def stage_archive(
 
     Upsert, load summary and quarantine all read this instead of the JSON text.
     """
-    scanned = scan_archive(spark, root, start, end, layout, fallback_root)
+    return _stage(scan_archive(spark, root, start, end, layout, fallback_root))
+
+
+def _stage(scanned: DataFrame) -> DataFrame:
     marks = [name for name in MARKS if name in scanned.columns]
     return materialize(curate(scanned, keep=(EVENT_TIME, *marks)), "staged")
 
 
+def stage_files(spark: SparkSession, listed: DataFrame, layout: str = "array") -> DataFrame:
+    """The same for listed files (``list_files``). In the array layout every file has a row, read or not.
+
+    The driver holds their names, as Spark's file index does for every scan.
+    """
+    names = listed.filter("length > 0").select("path").orderBy("path")
+    whole = layout == "array"
+    staged = _stage(scan_files(spark, [row["path"] for row in names.collect()], layout, skip_broken=whole))
+    return staged.unionByName(unread_files(staged, listed)) if whole else staged
+
+
+def load_new(
+    spark: SparkSession,
+    root: str,
+    ledger: LoadLedger,
+    table: KeyedTable,
+    layout: str = "array",
+    policy: str = "record",
+    start: date | None = None,
+    end: date | None = None,
+    max_files: int | None = None,
+    rejected: str | None = None,
+) -> int:
+    """Load the files below ``root`` that the ledger does not name, and name them; how many there were.
+
+    Whatever their day: a late file is found, a loaded one is not read again, a changed one
+    is. ``max_files`` bounds what is taken at a time, in order of path; call again until 0. If a load
+    ends between the table and the ledger the next one repeats it, which leaves the table as it
+    is. Rejected records, and in the array layout files that cannot be read, go to ``rejected``.
+    """
+    listed = list_files(spark, dated_folders(root, start, end, layout))
+    new = ledger.new_files(listed).orderBy("path")
+    taken = materialize(new.limit(max_files) if max_files else new, "new-files")
+    count = taken.count()
+    if count:
+        staged = stage_files(spark, taken, layout)
+        if rejected:
+            write_rejected(staged, rejected)
+        load_table(staged, table, policy)
+        ledger.record(taken)
+    drop(taken)
+    return count
+
+
 def load_table(staged: DataFrame, table: KeyedTable, policy: str = "record") -> None:
     """Upsert the good records into a catalog table."""
     table.ensure().upsert(good_records(staged, policy), LATEST)

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _local_root: str | None = None
 
@@ -55,3 +57,8 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that the planner knows to be empty."""
+    return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))

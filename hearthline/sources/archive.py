@@ -25,6 +25,8 @@ checks only the columns a query uses, so an error in another one would pass unse
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -33,9 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hearthline.schemas import KEY, wire_schema
+from hearthline.scratch import no_rows
+from hearthline.sources.listing import plain_path
 
 MARKS = ("source_file", "record_index", "record_ok", "record_text", "reject_reason", "file_ok")
 NO_FIT, NO_KEY, NO_ARRAY = "does not fit the schema", "has no key", "is not a JSON array"
+EMPTY, BROKEN, NO_TEXT = "is empty", "cannot be read", "is not UTF-8 text"
 _ERROR = "_record_error"
 
 
@@ -53,24 +58,20 @@ def scan_archive(
     fallback_names: str = "*.json",
     schema: StructType | None = None,
     key: str = KEY,
+    skip_broken: bool = False,
 ) -> DataFrame:
     """Records ingested from ``start`` to ``end`` (inclusive; ``end`` defaults to ``start``).
 
     Without ``start`` the whole tree is read. When the dated folders are missing
     or empty, every file below ``fallback_root`` whose name matches
-    ``fallback_names`` is read instead.
+    ``fallback_names`` is read instead. A file that cannot be read (a truncated archive, say) ends the
+    scan. With ``skip_broken``, for the array layout, it gives no row; ``unread_files`` then
+    tells which these are.
     """
     schema = schema or wire_schema()
-    if layout not in _LAYOUTS:
-        raise ValueError(f"layout must be one of {tuple(_LAYOUTS)}, not {layout!r}")
-    reader, day_pattern, decode = _LAYOUTS[layout]
-    anywhere = lambda: reader(spark, schema).option("recursiveFileLookup", True)
-    if start is None:
-        found = _load(anywhere(), root)
-    else:
-        # The folders of the days only: the driver lists nothing else, however old the archive.
-        days = [start + timedelta(n) for n in range(((end or start) - start).days + 1)]
-        found = _load(anywhere(), f"{root}/{{{','.join(day.strftime(day_pattern) for day in days)}}}")
+    reader, day_pattern, decode = _layout(layout, skip_broken)
+    anywhere = lambda: _options(reader(spark, schema), skip_broken)
+    found = _load(anywhere(), dated_folders(root, start, end, layout))
     if _nothing(found) and fallback_root:
         found = _load(anywhere().option("pathGlobFilter", fallback_names), fallback_root)
     if _nothing(found):
@@ -79,6 +80,70 @@ def scan_archive(
     return decode(found, schema, key)
 
 
+def scan_files(
+    spark: SparkSession,
+    files: Sequence[str],
+    layout: str = "array",
+    schema: StructType | None = None,
+    key: str = KEY,
+    skip_broken: bool = False,
+) -> DataFrame:
+    """The same from the named files and no others; no rows if none is named."""
+    schema = schema or wire_schema()
+    reader, _, decode = _layout(layout, skip_broken)
+    if files:
+        # A name is no pattern, whatever it holds.
+        literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", name) for name in files]
+        found = _options(reader(spark, schema), skip_broken).load(literal)
+        found = found.select("*", F.col("_metadata.file_path").alias("source_file"))
+    else:
+        text = StructType([StructField("value", StringType())])
+        content = text if layout == "array" else _with_error(schema)
+        found = no_rows(spark, StructType([*content, StructField("source_file", StringType())]))
+    return decode(found, schema, key)
+
+
+def dated_folders(root: str, start: date | None = None, end: date | None = None, layout: str = "array") -> str:
+    """The folders of the days only, as one pattern: nothing else is listed, however old the archive."""
+    if start is None:
+        return root
+    day_pattern = _layout(layout)[1]
+    days = [start + timedelta(n) for n in range(((end or start) - start).days + 1)]
+    return f"{root}/{{{','.join(day.strftime(day_pattern) for day in days)}}}"
+
+
+def unread_files(scanned: DataFrame, listed: DataFrame) -> DataFrame:
+    """Listed files that a scan with ``skip_broken`` gave no row of, as rejected rows of that scan.
+
+    ``listed`` is what ``list_files`` gives. Read ``scanned`` from where it has been written:
+    this looks at the names of its files once more.
+    """
+    read = scanned.select(plain_path(F.col("source_file")).alias("path")).distinct()
+    reason = F.when(F.col("length") == 0, EMPTY).otherwise(BROKEN)
+    marks = {
+        "source_file": F.col("path"),
+        "record_ok": F.lit(False),
+        "reject_reason": reason,
+        "file_ok": F.lit(False),
+    }
+    missing = listed.join(read, "path", "left_anti")
+    return missing.select(
+        *(marks.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in scanned.schema)
+    )
+
+
+def _layout(layout: str, skip_broken: bool = False):
+    if layout not in _LAYOUTS:
+        raise ValueError(f"layout must be one of {tuple(_LAYOUTS)}, not {layout!r}")
+    if skip_broken and layout != "array":
+        raise ValueError("only a file of the array layout is read whole or not at all")
+    return _LAYOUTS[layout]
+
+
+def _options(reader: DataFrameReader, skip_broken: bool) -> DataFrameReader:
+    return reader.option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_broken)
+
+
 def _nothing(found: DataFrame | None) -> bool:
     return found is None or found.select("source_file").isEmpty()
 
@@ -156,13 +221,14 @@ def _decode_arrays(found: DataFrame, schema: StructType, key: str) -> DataFrame:
     # Zipped in, not captured by a lambda: that would check the whole file once per record.
     flags = F.array_repeat("file_ok", F.size("records"))
     rows = (
-        found.select("source_file", arrays.alias("arrays"))
-        .select("source_file", texts.alias("texts"))
-        .select("source_file", records.alias("records"))
-        .select("source_file", "records", file_ok.alias("file_ok"))
-        .select("source_file", "records", flags.alias("flags"))
+        found.select("source_file", F.is_valid_utf8("value").alias("is_text"), arrays.alias("arrays"))
+        .select("source_file", "is_text", texts.alias("texts"))
+        .select("source_file", "is_text", records.alias("records"))
+        .select("source_file", "is_text", "records", file_ok.alias("file_ok"))
+        .select("source_file", "is_text", "records", flags.alias("flags"))
         .select(
             "source_file",
+            "is_text",
             F.posexplode_outer(F.arrays_zip("records", "flags")).alias("record_index", "item"),
         )
     )
@@ -170,7 +236,8 @@ def _decode_arrays(found: DataFrame, schema: StructType, key: str) -> DataFrame:
     fits = _fits(record, key)
     bad = F.col("record_index").isNotNull() & ~fits
     text = F.coalesce(record[_ERROR], F.to_json(F.struct(*_fields(schema, "item.records."))))
-    reason = F.when(record.isNull(), NO_ARRAY).when(record[_ERROR].isNotNull(), NO_FIT).otherwise(NO_KEY)
+    no_array = F.when(F.col("is_text"), NO_ARRAY).otherwise(NO_TEXT)
+    reason = F.when(record.isNull(), no_array).when(record[_ERROR].isNotNull(), NO_FIT).otherwise(NO_KEY)
     return rows.select(
         *_fields(schema, "item.records."),
         "source_file",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.functions.payload import parse_events
 from hearthline.operators.keyed_table import KeyedTable
+from hearthline.operators.merge_table import MergeTable
 from hearthline.operators.windows import CITY_FIELDS, window_totals
 
 
@@ -77,6 +79,24 @@ def upsert_stream(
     )
 
 
+def merge_stream(
+    df: DataFrame,
+    table: MergeTable,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Append every micro-batch to a table that merges on read, each exactly once.
+
+    The table knows the stream by its checkpoint and the last batch it has taken.
+    """
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
+    def write(batch: DataFrame, number: int) -> None:
+        table.upsert(batch, stream, number)
+
+    return for_each_batch(df, write, checkpoint, trigger=trigger)
+
+
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish; its failure is raised here."""
     query.awaitTermination()

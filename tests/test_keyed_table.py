@@ -1,3 +1,4 @@
+import re
 import uuid
 from datetime import timedelta
 
@@ -171,3 +172,17 @@ def test_any_format_can_be_store_and_source(spark, tmp_path):
     assert scan_table(spark, fmt="parquet", path=path).count() == 2
     with pytest.raises(ValueError):
         scan_table(spark)
+
+
+def test_lookup_lists_the_partitions_of_its_keys(spark):
+    schema = spark.createDataFrame([], ROW).schema
+    wide = KeyedTable(spark, f"ns_{uuid.uuid4().hex}", "current", ["k"], schema, buckets=16).ensure()
+    wide.upsert(spark.range(2000).select(F.col("id").cast("string").alias("k"), F.lit(1).cast("long").alias("t"), F.lit("v").alias("v")), ["t"])
+    keys = frame(spark, ("17", 0, "x"), ("17", 1, "y"), ("absent", 0, None), (None, 0, None)).select("k", "t")
+    found = wide.lookup(keys)
+    assert content(found) == [("17", 1, "v")]
+    buckets = {row[0] for row in keys.dropna().select(wide._bucket()).collect()}
+    filters = re.search(r"PartitionFilters: \[(.*)\]", plan(found))[1]
+    assert {int(n) for n in re.findall(r"(?<![#\d])\d+(?=[,)\]])", filters)} == buckets and len(buckets) <= 2
+    with pytest.raises(ValueError, match="more than 1 keys"):
+        wide.lookup(keys, max_keys=1)
