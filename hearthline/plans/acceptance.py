@@ -39,7 +39,9 @@ from hearthline.operators.reports import (
     row_count,
     table_sample,
 )
-from hearthline.operators.windows import CITY_MEASURES, flatten_window, window_totals
+from hearthline.operators.stored_totals import StoredTotals
+from hearthline.operators.wide_index import index_wide, wide_index
+from hearthline.operators.windows import CITY_FIELDS, CITY_MEASURES, flatten_window, window_totals
 from hearthline.plans.load import listing_table, load_new, stage_files
 from hearthline.schemas import wire_schema
 from hearthline.scratch import materialize, scratch_path
@@ -49,7 +51,8 @@ from hearthline.sources.files import write_bytes
 from hearthline.sources.ledger import LoadLedger
 from hearthline.sources.listing import list_files
 from hearthline.sources.tables import scan_table
-from hearthline.streaming.archive import archive_batch, archive_stream, write_array_files
+from hearthline.streaming.archive import archive_batch, archive_stream, dated_messages, write_array_files
+from hearthline.streaming.compaction import compact_day
 from hearthline.streaming.late import read_batches, split_late
 from hearthline.streaming.queries import (
     city_totals,
@@ -264,6 +267,38 @@ def _archive_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(good_records(scan_archive(spark, path, layout="lines")))
 
 
+@_register("archive_compacted", f"SELECT {_WIRE_SQL} FROM events")
+def _archive_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day written in many small files, packed, added to, packed again and added to."""
+    path, day = scratch_path(spark, "archive"), date(2024, 1, 1)
+    events = _table(spark, sf_dir, "events")
+    for number in range(4):
+        rows = events.filter(F.col("event_id") % 4 == number).repartition(6)
+        dated_messages(event_messages(rows), F.lit(day)).withColumn("part", F.lit(f"small-{number}")).write.mode(
+            "append"
+        ).partitionBy("year", "month", "day", "part").text(path)
+        if number in (1, 2):
+            compact_day(spark, path, day)
+    return curate(good_records(scan_archive(spark, path, day, layout="lines")))
+
+
+_CAP = 8
+
+
+@_register("archive_capped", "SELECT (event_id % 8 // 2)::BIGINT AS batch, count(*) AS messages FROM events GROUP BY 1")
+def _archive_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight lots of four files each, at most eight files a trigger: four flushes, counted from their folders."""
+    source, path = scratch_path(spark, "source"), scratch_path(spark, "archive")
+    events = _table(spark, sf_dir, "events")
+    for lot in range(8):  # one after another: a file stream takes the oldest files first
+        events.filter(F.col("event_id") % 8 == lot).repartition(4).write.mode("append").parquet(source)
+    stream = event_stream(spark, "parquet", path=source, schema=events.schema, max_files_per_trigger=_CAP)
+    drain(archive_stream(event_messages(stream), path, scratch_path(spark, "checkpoint"), ONCE))
+    batch = F.regexp_extract("source_file", r"/part=[^/]*-(\d+)/", 1).cast("long").alias("batch")
+    scanned = scan_archive(spark, path, layout="lines")
+    return scanned.groupBy(batch).agg(F.count("*").alias("messages"))
+
+
 _FILE_SIZE = 500
 _BAD = f"event_id % {7 * _FILE_SIZE} = 0"
 
@@ -498,6 +533,16 @@ def _window_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_totals(city_totals(_table(spark, sf_dir, "events").select(payload.alias("value"))))
 
 
+@_register("window_totals_merged", _totals_sql())
+def _window_totals_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four loads, one of them twice, the first time with rows that are not its own."""
+    events = _table(spark, sf_dir, "events")
+    totals = StoredTotals(spark, scratch_path(spark, "totals"))
+    for load, rows in ((0, "TRUE"), (1, "event_id % 4 = 1"), (2, "event_id % 4 = 2"), (0, "event_id % 4 = 0"), (3, "event_id % 4 = 3")):
+        totals.put(f"load {load}", parse_events(event_messages(events.filter(rows)), CITY_FIELDS))
+    return _flat_totals(totals.read())
+
+
 @_register("stream_window_complete", _totals_sql())
 def _stream_window_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every trigger hands over the whole result, so the last one written is the answer."""
@@ -978,6 +1023,18 @@ def _string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _featured(spark, sf_dir, 1).select("p_partkey", "p_brand_index", "p_type_index")
 
 
+@_register(
+    "string_index_wide",
+    """SELECT l_orderkey, l_linenumber, l_partkey_index FROM lineitem JOIN (
+           SELECT l_partkey, (row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1)::DOUBLE AS l_partkey_index
+           FROM lineitem GROUP BY 1) USING (l_partkey)""",
+)
+def _string_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of many values, none of which passes through the driver."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return index_wide(lines, "l_partkey", wide_index(lines, "l_partkey")).drop("l_partkey")
+
+
 @_register(
     "one_hot",
     f"""SELECT p_partkey, {_one_hot_sql("b")} AS p_brand_vec, {_one_hot_sql("t")} AS p_type_vec

@@ -37,6 +37,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from hearthline.schemas import KEY, wire_schema
 from hearthline.scratch import no_rows
 from hearthline.sources.listing import plain_path
+from hearthline.sources.packed import counts, packed_days
 
 MARKS = ("source_file", "record_index", "record_ok", "record_text", "reject_reason", "file_ok")
 NO_FIT, NO_KEY, NO_ARRAY = "does not fit the schema", "has no key", "is not a JSON array"
@@ -71,7 +72,11 @@ def scan_archive(
     schema = schema or wire_schema()
     reader, day_pattern, decode = _layout(layout, skip_broken)
     anywhere = lambda: _options(reader(spark, schema), skip_broken)
+    # Read before the files are listed: what is packed later leaves these where they are.
+    packed = counts(spark, root, _packed_days(spark, root, start, end), F.col("source_file")) if layout == "lines" else None
     found = _load(anywhere(), dated_folders(root, start, end, layout))
+    if found is not None and packed is not None:
+        found = found.filter(packed)
     if _nothing(found) and fallback_root:
         found = _load(anywhere().option("pathGlobFilter", fallback_names), fallback_root)
     if _nothing(found):
@@ -103,6 +108,12 @@ def scan_files(
     return decode(found, schema, key)
 
 
+def _packed_days(spark: SparkSession, root: str, start: date | None, end: date | None) -> list[date]:
+    if start is None:
+        return packed_days(spark, root)
+    return [start + timedelta(n) for n in range(((end or start) - start).days + 1)]
+
+
 def dated_folders(root: str, start: date | None = None, end: date | None = None, layout: str = "array") -> str:
     """The folders of the days only, as one pattern: nothing else is listed, however old the archive."""
     if start is None:
