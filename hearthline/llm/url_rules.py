@@ -1,13 +1,16 @@
 """URL filters: fixed host and path rules, then association rules mined from labels.
 
 Every url is a set of tokens: host labels, path segments without digits, query keys.
-FP-growth finds token combinations that occur often together with a bad label; those
-with enough support and confidence block. A rule is indexed under its rarest token, so
-matching joins urls to few candidates, each then tested in full.
+Tokens that stand in exactly the same labelled urls are one group, since combinations
+of them have the same support: FP-growth sees groups. It finds combinations that occur often
+together with a bad label; those with enough support and confidence block, unless a part
+of them says as much. A url has a group if it has any of its tokens. A rule is indexed
+under its rarest group, so matching joins urls to few candidates, each then tested in full.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -65,48 +68,105 @@ def fixed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
     return rule, verdict
 
 
+def token_groups(baskets: DataFrame, min_count: int) -> DataFrame:
+    """Tokens of ``min_count`` baskets or more (id, items), those of the same baskets together.
+
+    ``group`` (the first of them), ``members``, ``freq``. Two hashes over the baskets of each
+    token tell which are alike; a group's members stand in one basket, so there are few.
+    """
+    found = baskets.select("id", F.explode("items").alias("token")).filter(F.col("token") != BAD)
+    alike = found.groupBy("token").agg(
+        F.count("*").alias("freq"),
+        F.bit_xor(F.xxhash64("id")).alias("a"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("b"),
+    )
+    groups = alike.filter(F.col("freq") >= min_count).groupBy("freq", "a", "b")
+    return groups.agg(F.array_sort(F.collect_list("token")).alias("members")).select(
+        F.col("members")[0].alias("group"), "members", "freq"
+    )
+
+
 def mine_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """Rules from rows of url and bad: tokens, confidence, support, index_token (the rarest).
+    """Rules from rows of url and bad: tokens, confidence, support, index_token (the rarest), members.
 
-    Rules of any length are kept. Without rows there are no rules.
+    A token stands for its group, whose ``members`` are beside it. Rules of any length are kept,
+    except where a part of a rule has at least its confidence. Without rows there are no rules.
     """
     spark = labelled.sparkSession
+    bad = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
     baskets = labelled.select(
-        F.concat(url_tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")
-    ).filter(F.size("items") > 0)
-    baskets = materialize(baskets, "url-baskets")
-    if baskets.isEmpty():
-        return spark.createDataFrame([], "tokens array<string>, confidence double, support double, index_token string")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+        F.monotonically_increasing_id().alias("id"), F.concat(url_tokens(F.col("url")), bad).alias("items")
+    )
+    baskets = materialize(baskets.filter(F.size("items") > 0), "url-baskets")
+    n = baskets.count()
+    schema = "tokens array<string>, confidence double, support double, index_token string, members array<array<string>>"
+    if not n:
+        return spark.createDataFrame([], schema)
+    groups = materialize(token_groups(baskets, math.ceil(min_support * n)), "url-token-groups")
+    of_token = groups.select(F.explode("members").alias("token"), "group")
+    merged = (
+        baskets.select("id", F.explode("items").alias("token"))
+        .join(of_token, "token")
+        .groupBy("id")
+        .agg(F.collect_set("group").alias("groups"))
+    )
+    is_bad = F.filter("items", lambda x: x == BAD)
+    nothing = F.array().cast("array<string>")
+    smaller = baskets.join(merged, "id", "left").select(F.concat(F.coalesce("groups", nothing), is_bad).alias("items"))
+    smaller = materialize(smaller, "url-groups")
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(smaller)
     rules = model.associationRules.filter(
         (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD)
     ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     indexed = (
         rules.withColumn("token", F.explode("tokens"))
-        .join(single, "token")
+        .join(groups.select(F.col("group").alias("token"), "members", "freq"), "token")
         .groupBy("tokens", "confidence", "support")
-        .agg(F.min(F.struct("freq", "token"))["token"].alias("index_token"))
+        .agg(
+            F.min(F.struct("freq", "token"))["token"].alias("index_token"),
+            F.array_sort(F.collect_list(F.struct("token", "members"))).alias("named"),
+        )
+        .select("tokens", "confidence", "support", "index_token", F.col("named.members").alias("members"))
+    )
+    return materialize(_without_covered(materialize(indexed, "url-all-rules")), "url-rules")
+
+
+def _without_covered(rules: DataFrame) -> DataFrame:
+    """Rules of which no part is a rule of at least the same confidence."""
+    parts = rules.select(
+        F.col("index_token").alias("token"), F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence")
+    )
+    whole = rules.filter(F.size("tokens") > 1).select("tokens", "confidence", F.explode("tokens").alias("token"))
+    covered = (
+        whole.join(parts, "token")
+        .filter((F.col("part_confidence") >= F.col("confidence")) & (F.size("part") < F.size("tokens")))
+        .filter(F.size(F.array_except("part", "tokens")) == 0)
+        .select("tokens")
+        .distinct()
     )
-    return materialize(indexed, "url-rules")
+    return rules.join(covered, "tokens", "left_anti")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The most confident rule of every distinct url that has one: url, mined_rule, confidence.
 
-    Of equals the one with most support, then the shortest: a rule never hides a part of it that says as much.
+    Of equals the one with most support, then the shortest.
     """
-    tokens = urls.select("url").filter("url IS NOT NULL").distinct().withColumn("has", url_tokens(F.col("url")))
+    groups = rules.select(F.explode(F.arrays_zip(F.col("tokens").alias("group"), "members")).alias("x"))
+    of_token = groups.select(F.col("x.group").alias("group"), F.explode("x.members").alias("token")).distinct()
+    tokens = urls.select("url").filter("url IS NOT NULL").distinct().withColumn("token", F.explode(url_tokens(F.col("url"))))
+    has = tokens.join(of_token, "token").groupBy("url").agg(F.collect_set("group").alias("has"))
+    text = F.array_join(F.transform("members", lambda x: F.array_join(x, "|")), " ")
     return (
-        tokens.withColumn("index_token", F.explode("has"))
+        has.withColumn("index_token", F.explode("has"))
         .join(rules, "index_token")
         .filter(F.size(F.array_except("tokens", "has")) == 0)
         .groupBy("url")
-        .agg(F.max(F.struct("confidence", "support", -F.size("tokens"), F.array_join("tokens", " ").alias("mined_rule"))).alias("best"))
+        .agg(F.max(F.struct("confidence", "support", -F.size("tokens"), text.alias("mined_rule"))).alias("best"))
         .select("url", "best.mined_rule", "best.confidence")
     )
 
