@@ -1,7 +1,7 @@
 """WARC archives: a deterministic sharded writer, and a reader of what it wrote.
 
-Records are sorted by page and dealt to shards by ranges of page ids whose bytes are
-about equal; the ranges depend on the data alone. A task writes one shard: records as
+Records are sorted by page and digest and dealt to shards of about equal bytes, by
+ranges that depend on the data alone. A task writes one shard: records as
 gzip members of their own, a new file as soon as the compressed size reaches the
 limit. Files are written under a name of the attempt and renamed to the name of their
 content, so a second attempt replaces a file with the same bytes. The manifest, written
@@ -11,6 +11,7 @@ last, names the files that count.
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 import uuid
@@ -18,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +29,8 @@ from hearthline.scratch import materialize, scratch_path
 
 FILE_BYTES = 16 << 20
 SHARD_BYTES = 32 << 20
-RANGES = 1 << 12
+CUT_ROWS = 64  # rows of a hash sample for each shard, from which the shards' bounds are taken
+HEADER_BYTES = 400  # of a record, about
 CONTROL = re.compile("[\\x00-\\x1f\\x7f]")
 FIXED_DATE = "2025-01-01T00:00:00Z"  # a real date would make every run's bytes differ
 
@@ -122,33 +125,54 @@ def _digest() -> Column:
     return F.unhex(F.sha1(_payload()))
 
 
-def _shard_of(links: DataFrame, shard_bytes: int) -> tuple[Column, int]:
-    """The shard of a page id, and the number of shards; at most RANGES rows reach the driver.
+def shard_bounds(links: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The first (page_id, digest) of every shard but the first, in order; a null id stands first.
 
-    The shards are ranges of ids, cut from equal stretches of them, and once more within each
-    stretch that holds more than a shard.
+    Cut by running bytes over a sample of rows, drawn by a hash of both, and all rows that are
+    large beside a shard. The driver holds some CUT_ROWS rows for each shard.
     """
-    size = F.when(F.col("refers_to").isNull(), F.col("n_bytes")).otherwise(0) + 400
-    low, high = links.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return F.lit(0), 1
-    width = -(-(high - low + 1) // RANGES)
-    stretch = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(0)).cast("int")
-    sums = dict(links.groupBy(stretch.alias("stretch")).agg(F.sum(size)).collect())
-    shards, inner, shard, filled = [], [], 0, 0
-    for i in range(RANGES):
-        n = sums.get(i, 0)
-        if filled and filled + n > shard_bytes:
-            shard, filled = shard + 1, 0
-        parts = max(1, min(width, -(-n // shard_bytes)))
-        shards.append(shard)
-        inner.append(parts)
-        shard += parts - 1
-        filled += n // parts
-    of = F.element_at(F.array(*map(F.lit, shards)), stretch + 1)
-    within = F.element_at(F.array(*map(F.lit, inner)), stretch + 1)
-    step = F.coalesce(F.floor(F.pmod(F.col("page_id") - low, F.lit(width)) * within / width), F.lit(0))
-    return (of + step).cast("int"), shard + 1
+    size = F.when(F.col("refers_to").isNull(), F.col("n_bytes")).otherwise(0) + HEADER_BYTES
+    sized = links.select("page_id", "digest", size.alias("size"))
+    n, total = sized.agg(F.count("*"), F.sum("size")).first()
+    n_shards = -(-(total or 0) // shard_bytes)
+    if n_shards < 2:
+        return []
+    every = max(1, n // (CUT_ROWS * n_shards))
+    large = F.col("size") * 16 > shard_bytes
+    drawn = F.pmod(F.xxhash64("page_id", "digest"), F.lit(every)) == 0
+    weight = F.when(large, F.col("size")).otherwise(F.col("size") * every)
+    rows = sized.filter(large | drawn).select("page_id", "digest", weight.alias("weight")).collect()
+    rows = sorted((_order(r["page_id"], bytes(r["digest"])), r["weight"]) for r in rows)
+    each = sum(weight for _, weight in rows) / n_shards
+    bounds, filled = [], 0
+    for key, weight in rows:
+        if filled + weight / 2 > each * (len(bounds) + 1) and (not bounds or key > bounds[-1]):
+            bounds.append(key)
+        filled += weight
+    return bounds
+
+
+def _order(page_id, digest: bytes) -> tuple:
+    return (page_id is not None, page_id or 0, digest)
+
+
+def shard_of(bounds: list[tuple]):
+    """A function of columns page_id and digest: the number of the shard."""
+    firsts = np.array([b[1] for b in bounds if b[0]], np.int64)
+    before = len(bounds) - len(firsts)  # bounds among rows without an id
+
+    @F.pandas_udf("int")
+    def find(ids: pd.Series, digests: pd.Series) -> pd.Series:
+        known = ids.notna().to_numpy()
+        number = np.array([int(i) if k else 0 for i, k in zip(ids, known, strict=True)], np.int64)
+        low, high = np.searchsorted(firsts, number, "left"), np.searchsorted(firsts, number, "right")
+        out = before + low
+        # Only among equal ids the digest decides.
+        for i in np.flatnonzero((low < high) | ~known):
+            out[i] = bisect.bisect_right(bounds, _order(int(number[i]) if known[i] else None, bytes(digests.iloc[i])))
+        return pd.Series(out.astype(np.int32))
+
+    return find
 
 
 def write_warc(
@@ -164,14 +188,15 @@ def write_warc(
     pyarrow's file systems open); by default a new one in the cluster's shared folder.
     A null html is an empty payload, a null url has no target header, a null page_id sorts
     first and has no id header. Rows that repeat a page id and its payload are each a
-    response if that id is the payload's largest. An empty table has an empty manifest.
+    response if that id is the payload's largest. Ids are whole numbers of 64 bits. An empty
+    table has an empty manifest.
     Other columns are not read.
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
     pages = pages.select("page_id", "url", "html")
     links = materialize(linked(pages, min_revisit_bytes), "warc-links")
-    shard, n_shards = _shard_of(links, shard_bytes)
+    bounds = shard_bounds(links, shard_bytes)
     columns = ["page_id", "url", "html", "n_bytes", "digest", "refers_to"]
     none = F.lit(None).cast("string")
     whole = pages.withColumns(
@@ -183,8 +208,8 @@ def write_warc(
     both = whole.select(*columns, F.lit(1).alias("kind")).union(marks.select(*columns, F.lit(0)))
     # Ids travel as text: pandas would turn a column of whole numbers with nulls into floats.
     sorted_rows = (
-        both.withColumn("shard", shard)
-        .repartition(n_shards, "shard")
+        both.withColumn("shard", shard_of(bounds)(F.col("page_id").cast("string"), "digest"))
+        .repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
         .select("kind", "shard", "url", "html", "n_bytes", "digest", *(F.col(c).cast("string") for c in ("page_id", "refers_to")))
     )

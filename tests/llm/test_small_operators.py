@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -283,3 +284,57 @@ def test_a_rule_of_four_tokens_blocks(spark):
     assert {r.page_id: r.verdict for r in found} == {i: "block" if i % 5 == 0 else "allow" for i, _, _ in pages}
     # "h:net" is in every url and adds nothing: the shorter rule is named.
     assert {r.mined_rule for r in found if r.mined_rule} == {"h:a p:b p:c p:d"}
+
+
+def test_rules_are_those_of_counted_itemsets(spark):
+    """Every combination that has the support and confidence, less those of which a part says as much."""
+    draw = random.Random(5)
+    for _ in range(3):
+        rows = []
+        for _ in range(60):
+            keys = [k for k in "abcdef" if draw.random() < 0.5]
+            keys += ["g", "h"] if "a" in keys else []  # always together with a
+            rows.append(("http://x.net/?" + "&".join(keys), draw.random() < (0.9 if {"a", "b"} <= set(keys) else 0.3)))
+        has = [({"h:x", "h:net", *(f"q:{k}" for k in url.split("?")[1].split("&") if k)}, bad) for url, bad in rows]
+        counted = {}
+        tokens = sorted(set().union(*(t for t, _ in has)))
+        for size in range(1, 7):
+            for some in itertools.combinations(tokens, size):
+                hits = [bad for t, bad in has if t.issuperset(some)]
+                if sum(hits) >= 6 and sum(hits) / len(hits) >= 0.5:
+                    counted[frozenset(some)] = (sum(hits) / len(hits), sum(hits) / 60)
+        minimal = {s: v for s, v in counted.items() if not any(p < s and counted[p][0] >= v[0] for p in counted)}
+        found = url_rules.mine_rules(spark.createDataFrame(rows, "url string, bad boolean"), 0.1, 0.5).collect()
+        expanded = {}
+        for r in found:
+            for some in itertools.product(*r.members):
+                expanded[frozenset(some)] = (r.confidence, r.support)
+        assert expanded == minimal
+
+
+def test_thirty_constant_query_keys_are_mined_in_no_time(spark):
+    keys = "&".join(f"key{i}=1" for i in range(30))
+    pages = [(i, f"http://t.net/{'buy' if i % 2 else 'read'}?{keys}" if i % 5 == 0 else f"http://t.net/{i}/news", "") for i in range(500)]
+    pages += [(1000, "http://u.net/buy?key7=2", ""), (1001, "http://u.net/sell?key7=2", "")]
+    labels = [(i, int(not (i % 5 == 0 and i % 2)), 0) for i in range(500)]
+    found = url_rules.filter_urls(
+        spark.createDataFrame(pages, PAGES), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    )
+    verdicts = {r.page_id: r.verdict for r in found.collect()}
+    assert all(verdicts[i] == ("block" if i % 5 == 0 and i % 2 else "allow") for i in range(500))
+    assert verdicts[1000] == "block" and verdicts[1001] == "allow"
+
+
+def test_warc_ids_of_any_size_and_even_shards(spark, tmp_path):
+    ids = [-(2**63), 2**63 - 1, 10**15, None, None, *([7] * 150), *range(1000)]
+    pages = [(i, f"u{n}", f"{n} " + "x" * 2000) for n, i in enumerate(ids)]
+    frame = spark.createDataFrame(pages, PAGES)
+    bounds = warc.shard_bounds(warc.linked(frame), 100_000)
+    manifest = warc.write_warc(frame, f"file://{tmp_path}/w", shard_bytes=100_000)
+    rows = warc.read_warc(manifest).collect()
+    assert sorted(((r.page_id, r.url, bytes(r.payload).decode()) for r in rows), key=str) == sorted(pages, key=str)
+    shards = collections.Counter()
+    for file, records, *_ in manifest.files.collect():
+        shards[file.split("-")[1]] += records
+    assert len(shards) == len(bounds) + 1 > 20
+    assert max(shards.values()) <= 2 * len(ids) / len(shards), "an outlier, and one id of many pages, skew nothing"
