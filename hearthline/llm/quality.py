@@ -12,6 +12,7 @@ seen, makes the scores probabilities.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,7 +30,9 @@ KEYS = SHAPES * LETTERS
 SIZE, NONZERO, AROUND = 32, 4, 2
 WORD_SIZE, UNIT = 16, 127  # numbers of a word's own vector, each of one byte
 COMMON, WINDOW, LEAST = 1 << 21, 1 << 21, 4  # common: once in so many words; counted by windows
-FULL = 31  # occurrences whose signs, four words' each, a byte can sum
+FULL = 256  # vectors whose sum two bytes can hold
+OCCURRENCES = 1 << 20  # that a task gathers before it sends them
+PART_BYTES = 64 << 20  # of text for each part of the rare words
 TEXT_KEY = "_text_key"
 HIDDEN, STEPS, RATE, DECAY = 16, 800, 0.02, 1e-4
 MAX_SAMPLE = 8000
@@ -254,72 +257,117 @@ def learn_common(docs: DataFrame, common: np.ndarray) -> np.ndarray:
     return vectors
 
 
-def other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """Of every text the vectors of its words that are not common, summed: key, words, s0 and up.
+def packed_contexts(around: np.ndarray) -> np.ndarray:
+    """The context of one occurrence, WORD_SIZE numbers from -2 * AROUND to 2 * AROUND, as one number."""
+    base = 4 * AROUND + 1
+    return (around.astype(np.int64) + 2 * AROUND) @ base ** np.arange(WORD_SIZE, dtype=np.int64)
+
+
+def unpacked_contexts(packed: np.ndarray) -> np.ndarray:
+    base = 4 * AROUND + 1
+    out = np.empty((len(packed), WORD_SIZE), np.int8)
+    for d in range(WORD_SIZE):
+        packed, out[:, d] = np.divmod(packed, base)
+    return out - np.int8(2 * AROUND)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, so that high bytes, which are alike, compress."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unplaned(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def starts_of_runs(numbers: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+
+
+def rare_occurrences(docs: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
+    """Words that are not common, with the context of each occurrence, dealt to parts by their hash.
 
-    Equal texts have one row; words and sums count each of them.
+    A row holds many texts' words of one part: their keys, how many words each has, words and contexts.
     """
 
-    def pairs(batch: pa.RecordBatch) -> Iterator[dict]:
-        keys = batch.column(0).to_numpy()
-        for piece in pieces(batch.column(1)):
-            hashes, offsets = word_hashes(piece)
-            on = np.flatnonzero(place(common, hashes) < 0)
-            if not len(on):
-                continue
-            owner = np.repeat(np.arange(piece.rows), np.diff(offsets))
-            around = contexts(hashes, offsets)
-            on = on[np.lexsort((hashes[on], owner[on]))]
-            new = np.ones(len(on), bool)
-            new[1:] = (hashes[on[1:]] != hashes[on[:-1]]) | (owner[on[1:]] != owner[on[:-1]])
-            begin = np.flatnonzero(new)
-            rank = np.arange(len(on)) - begin[np.cumsum(new) - 1]
-            begin = np.flatnonzero(rank % FULL == 0)
-            sums = np.ascontiguousarray(np.add.reduceat(around[on], begin, axis=0, dtype=np.int8)).view(np.int64)
-            yield {
-                "word": hashes[on[begin]],
-                "key": keys[piece.first + owner[on[begin]]],
-                "n": np.diff(begin, append=len(on)).astype(np.int32),
-                "a": sums[:, 0].copy(),
-                "b": sums[:, 1].copy(),
-            }
+    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, word, around = (np.concatenate(c) for c in zip(*held, strict=True))
+        part = (word.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        for p in np.unique(part):
+            on = np.flatnonzero(part == p)  # in the order of texts
+            begin = starts_of_runs(key[on])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": [int(p)],
+                    "keys": [key[on[begin]].tobytes()],
+                    "sizes": [np.diff(begin, append=len(on)).astype(np.int32).tobytes()],
+                    "words": [word[on].tobytes()],
+                    "contexts": [_planes(around[on])],
+                }
+            )
 
-    def answer(columns: list[np.ndarray]) -> pa.RecordBatch:
-        word, key, n, a, b = columns
-        new = np.diff(word, prepend=word[0]) != 0
-        new[0] = True
-        begin = np.flatnonzero(new)
-        sums = np.add.reduceat(np.column_stack([a, b]).view(np.int8), begin, axis=0, dtype=np.int64)
-        vectors = unit(sums, word[begin])[np.cumsum(new) - 1]
-        new[1:] |= key[1:] != key[:-1]
-        first = np.flatnonzero(new)
-        packed = np.ascontiguousarray(vectors[first]).view(np.int64)
-        n = np.add.reduceat(n, first, dtype=np.int64)
-        return pa.RecordBatch.from_pydict({"key": key[first], "n": n, "a": packed[:, 0].copy(), "b": packed[:, 1].copy()})
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [c.to_numpy() for c in batch.columns]
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))
-            if held and (cut or columns[0][0] != held[0][0][0]):  # a word ends here
-                parts = [*held, [c[:cut] for c in columns]]
-                yield answer([np.concatenate(c) for c in zip(*parts, strict=True)])
-                held = []
-            elif cut:
-                yield answer([c[:cut] for c in columns])
-            held.append([c[cut:] for c in columns])
-        if held:
-            yield answer([np.concatenate(c) for c in zip(*held, strict=True)])
-
-    found = map_batches(docs.select(text_key(), "text"), pairs, "word long, key long, n int, a long, b long")
-    met = found.repartition("word").sortWithinPartitions("word", "key").mapInArrow(meet, "key long, n long, a long, b long")
+            keys = batch.column(0).to_numpy()
+            for piece in pieces(batch.column(1)):
+                hashes, offsets = word_hashes(piece)
+                on = np.flatnonzero(place(common, hashes) < 0)
+                if not len(on):
+                    continue
+                owner = np.repeat(np.arange(piece.rows), np.diff(offsets))[on]
+                held.append((keys[piece.first + owner], hashes[on], packed_contexts(contexts(hashes, offsets)[on])))
+                n += len(on)
+                if n >= OCCURRENCES:
+                    yield from flush(held)
+                    held, n = [], 0
+        if n:
+            yield from flush(held)
+
+    found = docs.select(text_key(), "text")
+    return found.mapInArrow(run, "part long, keys binary, sizes binary, words binary, contexts binary")
+
+
+def other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """Of every text the vectors of its words that are not common, summed: key, words, s0 and up.
+
+    Equal texts have one row; words and sums count each of them. A word's occurrences meet in the
+    part of its hash, some PART_BYTES of text for each part, and what goes back to a text is one sum of
+    vectors from each part.
+    """
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // PART_BYTES))
+
+    def meet(table: pa.Table) -> pa.Table:
+        """No word here is common, so a part is no larger than its share of the text."""
+        key, sizes, word, around = (
+            [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
+            for name, kind in (("keys", np.int64), ("sizes", np.int32), ("words", np.int64), ("contexts", np.uint8))
+        )
+        key, sizes, word = np.concatenate(key), np.concatenate(sizes).astype(np.int64), np.concatenate(word)
+        around = np.concatenate([_unplaned(x) for x in around])
+        order = np.argsort(word, kind="stable")
+        begin = starts_of_runs(word[order])
+        sums = np.add.reduceat(unpacked_contexts(around[order]), begin, axis=0, dtype=np.int64)
+        which = np.empty(len(word), np.int64)
+        which[order] = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(word)))
+        vectors = unit(sums, word[order[begin]])
+        # Sums of so few vectors fit two bytes.
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        rank = np.arange(len(word)) - np.repeat(ends - sizes, sizes)
+        first = np.flatnonzero(rank % FULL == 0)
+        summed = np.add.reduceat(vectors[which], first, axis=0, dtype=np.int16)
+        packed = np.ascontiguousarray(summed).view(np.int64)
+        columns = {"key": key[owner[first]], "n": np.diff(first, append=len(word)).astype(np.int64)}
+        return pa.table(columns | {c: packed[:, i].copy() for i, c in enumerate("abcd")})
+
+    found = rare_occurrences(docs, common, parts)
+    met = found.groupBy("part").applyInArrow(meet, "key long, n long, a long, b long, c long, d long")
     # Dealt by key before it is summed: partial sums are longer than what they sum.
-    places = [F.shiftright(F.shiftleft(c, 56 - 8 * d), 56) for c in ("a", "b") for d in range(8)]
+    places = [F.shiftright(F.shiftleft(c, 48 - 16 * d), 48) for c in "abcd" for d in range(4)]
     return met.repartition("key").groupBy("key").agg(
-        F.sum("n").alias("words"), *(F.sum(F.col("n") * p).alias(f"s{d}") for d, p in enumerate(places))
+        F.sum("n").alias("words"), *(F.sum(p).alias(f"s{d}") for d, p in enumerate(places))
     )
 
 
@@ -420,7 +468,10 @@ def learn_quality(made: DataFrame, labels: DataFrame, learn: Column, max_sample:
         .limit(max_sample)
     )
     # max_sample labels are broadcast, and as many rows of some 50 numbers come back.
-    rows = made.join(F.broadcast(known), "doc_id").select("doc_id", "quality", "x").collect()
+    # A row that repeats an id and its text counts once, and so many are taken whatever repeats.
+    marked = made.join(F.broadcast(known), "doc_id").select("doc_id", TEXT_KEY, "quality", "x")
+    once = marked.dropDuplicates(["doc_id", TEXT_KEY])
+    rows = once.orderBy(F.xxhash64("doc_id"), F.xxhash64("doc_id", TEXT_KEY), "doc_id").limit(max_sample).collect()
     if len({r["quality"] for r in rows}) < 2:
         return None
     rows.sort(key=lambda r: (hash_order(r["doc_id"]), bytes(r["x"])))  # sums depend on the order
@@ -428,8 +479,9 @@ def learn_quality(made: DataFrame, labels: DataFrame, learn: Column, max_sample:
     return train(x, np.array([r["quality"] == 1 for r in rows]))
 
 
-def hash_order(doc_id: int) -> int:
-    return int(mix(np.array([doc_id], np.int64).astype(np.uint64))[0])
+def hash_order(doc_id) -> int:
+    number = doc_id if isinstance(doc_id, int) else zlib.crc32(str(doc_id).encode())
+    return int(mix(np.array([number], np.int64).astype(np.uint64))[0])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_sample: int = MAX_SAMPLE) -> DataFrame:
