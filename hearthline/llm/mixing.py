@@ -85,6 +85,7 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    key_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """What the mix takes of every row, and the seats of every source in every output shard.
 
@@ -95,7 +96,8 @@ def mix_sources(
     ``weights`` repeat over the sources in code point order, null last. The driver holds
     one row for each source. Null, empty and blank texts have size 0 and nothing of them
     is taken; repeated rows count each; an empty table gives no rows. A source that is all
-    blank still uses up its weight.
+    blank still uses up its weight. The seeded order is by id, or the text where there is none. With
+    ``key_col`` the first result has that column too, as ``row_key``, to find its row by.
     """
     spark = docs.sparkSession
     name = F.col("source")
@@ -104,11 +106,14 @@ def mix_sources(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
+            F.xxhash64(text_col).alias("text_hash"),
+            *([F.col(f"`{key_col}`").alias("row_key")] if key_col else []),
         )
         # A key that is never null, and the bucket of the seeded order.
         .withColumn("mix_key", F.when(name.isNull(), "n").otherwise(F.concat(F.lit("s"), name)))
         .withColumn(
-            "part", F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 3)
+            "part",
+            F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.col("text_hash").cast("string")))), 1, 3),
         ),
         "mix-rows",
     )
@@ -139,7 +144,7 @@ def mix_sources(
         "before", F.sum("part_size").over(Window.partitionBy("mix_key").orderBy("part")) - F.col("part_size")
     ).drop("part_size")
     offsets = offsets.join(spark.createDataFrame(plan, schema), "mix_key")
-    inside = Window.partitionBy("mix_key", "part").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("mix_key", "part").orderBy("doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("inside", F.sum("size").over(inside)).join(offsets, ["mix_key", "part"])
     begin = F.col("before") + F.col("inside") - F.col("size")
     end = F.col("before") + F.col("inside")
@@ -159,33 +164,32 @@ def mix_sources(
         taken.cast("long").alias("taken"),
         "epochs",
         F.array_compact(F.array(one, two)).alias("runs"),
+        *(["row_key"] if key_col else []),
     )
     return mixed, spark.createDataFrame(quotas, "output_shard int, source string, blocks long")
 
 
-def mixed_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """``docs`` as the mix takes them: a row for each whole pass, and one for each further run.
+def mixed_rows(docs: DataFrame, mixed: DataFrame, key_col: str) -> DataFrame:
+    """``docs``, without their key, as the mix takes them: a row for each whole pass, and one for each further run.
 
-    The row of a run has the words of the run as its text, with single spaces; there are at
-    most two such documents in a source. ``n_chars``, where there is one, follows the text.
-    Rows that repeat an id are all taken as the one of which most is taken.
+    ``key_col`` tells the rows of ``docs`` apart, and ``mixed`` was made with it. The row of a run
+    has the words of the run as its text, with single spaces; there are at most two such documents
+    in a source. ``n_chars``, where there is one, follows the text.
     """
-    columns = docs.columns
-    taken = mixed.groupBy(F.col("doc_id").alias("taken_id")).agg(
-        F.max(F.struct("taken", "epochs", "size", "runs")).alias("mix")
+    columns = [name for name in docs.columns if name != key_col]
+    whole = F.struct(F.lit(1).cast("long").alias("first"), F.col("size").alias("last"))
+    taken = mixed.filter("taken > 0").select(
+        "row_key", "size", F.concat(F.array_repeat(whole, F.col("epochs").cast("int")), "runs").alias("copies")
     )
-    epochs, runs = F.col("mix.epochs"), F.col("mix.runs")
-    whole = F.struct(F.lit(1).cast("long").alias("first"), F.col("mix.size").alias("last"))
-    copies = F.concat(F.array_repeat(whole, epochs.cast("int")), runs)
-    rows = docs.join(taken, docs["doc_id"].eqNullSafe(taken["taken_id"])).filter("mix.taken > 0")
-    rows = rows.select(*(docs[c] for c in columns), F.col("mix.size").alias("mix_size"), F.explode(copies).alias("run"))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    # The caller's columns in one struct: none of their names can clash with those of here.
+    own = docs.select(F.col(f"`{key_col}`").alias("row_key"), F.struct(*(F.col(f"`{c}`") for c in columns)).alias("doc"))
+    rows = own.join(taken, "row_key").select("doc", "size", F.explode("copies").alias("run"))
+    words = F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))
     length = (F.col("run.last") - F.col("run.first") + 1).cast("int")
     part = F.array_join(F.slice(words, F.col("run.first").cast("int"), length), " ")
-    cut = length < F.col("mix_size")
-    rows = rows.withColumn("text", F.when(cut, part).otherwise(F.col("text")))
+    cut = length < F.col("size")
+    changed = {"text": F.when(cut, part).otherwise(F.col("doc.text"))}
     if "n_chars" in columns:
-        rows = rows.withColumn(
-            "n_chars", F.when(cut, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
-        )
-    return rows.select(*columns)
+        n_chars = F.length(part).cast(dict(docs.dtypes)["n_chars"])
+        changed["n_chars"] = F.when(cut, n_chars).otherwise(F.col("doc.n_chars"))
+    return rows.select(*(changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in columns))

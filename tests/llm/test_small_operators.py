@@ -13,7 +13,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hearthline.llm import mixing, quality_rules, sharding, url_rules, warc
+from hearthline.llm.rows import keyed_rows
 from hearthline.llm.tokens import lines, pieces, shingles, span_hashes, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -137,11 +139,48 @@ def test_mix_takes_near_the_target_and_repeats_itself(spark):
     assert mixing.mix_sources(docs.limit(0))[0].count() == 0
     blank = mixing.mix_sources(docs_of(spark, [None, ""], ["x", None]))[0].collect()
     assert [r.taken for r in blank] == [0, 0]
-    taken = mixing.mixed_rows(docs, mixed)
+    keyed, name = keyed_rows(docs)
+    taken = mixing.mixed_rows(keyed, mixing.mix_sources(keyed, block_words=4, key_col=name)[0], name)
     assert taken.columns == docs.columns
     words_of = {d: n for d, n in taken.groupBy("doc_id").agg(F.sum(mixing.word_count(F.col("text")))).collect()}
-    once = {r.doc_id: r.taken for r in rows if r.doc_id not in (1, 7, 8) and r.taken}
-    assert {d: words_of[d] for d in once} == once
+    wanted = collections.Counter()
+    for r in rows:
+        wanted[r.doc_id] += r.taken
+    assert {d: n for d, n in words_of.items() if n} == {d: n for d, n in wanted.items() if n}
+
+
+def test_rows_without_an_id_and_clashing_names_are_mixed_to_the_targets(spark, tmp_path):
+    draw = random.Random(6)
+    rows = [(None if i % 2 else i // 4, " ".join(f"w{draw.randrange(9)}" for _ in range(draw.randrange(30))), draw.choice("ab")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for name in ("run", "mix", "mix_size", "size", "row_key", "doc", "copies", "n_chars"):
+        docs = docs.withColumn(name, F.col("doc_id"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.mixed(spark, docs, "")
+    assert got.columns == docs.columns
+    size = {s: sum(len(t.split()) for _, t, of in rows if of == s) for s in "ab"}
+    targets = mixing.source_targets([size["a"], size["b"]], [5, 2])
+    words = dict(got.groupBy("source").agg(F.sum(mixing.word_count(F.col("text")))).collect())
+    assert abs(words["a"] - targets[0]) <= 2 * mixing.BLOCK_WORDS and abs(words["b"] - targets[1]) <= 2 * mixing.BLOCK_WORDS
+    again = corpus_pipeline.mixed(spark, docs.repartition(5), "")
+    assert sorted(map(str, again.drop("n_chars").collect())) == sorted(map(str, got.drop("n_chars").collect()))
+
+
+def test_near_duplicates_are_judged_by_row(spark, tmp_path):
+    text, other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    near = text.replace("x30", "edited")
+    rows = [(None, text), (None, text), (5, text), (5, other), (None, other), (6, near), (7, third), (None, None), (None, ""), (7, third), (None, "")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row_key int")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/d")
+    got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/d"), "")
+    assert got.columns == docs.columns
+    kept = sorted(r.row_key for r in got.collect())
+    # One of text and near (the first without an id), one of other, one of third; nothing to compare in 7, 8, 10.
+    assert kept == [0, 4, 6, 7, 8, 10]
+    memory = corpus_pipeline.near_duplicates(spark, docs, "")  # not read from files
+    assert sorted(r.text or "" for r in memory.collect()) == sorted(rows[n][1] or "" for n in kept)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
 
 
 def best_capacity(sizes, n):
