@@ -9,8 +9,9 @@ from hearthline.llm.decontaminate import remove_leaking
 from hearthline.llm.mixing import mix_sources, mixed_rows
 from hearthline.llm.ngram_join import ngram_join
 from hearthline.llm.quality import keep_good
+from hearthline.llm.rows import keyed_rows
 from hearthline.llm.sharding import assign_shards
-from hearthline.scratch import materialize
+from hearthline.scratch import drop, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,13 +24,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id, and rows without an id.
+    """One row of each component of near duplicates: that with the smallest id, then the first in the files.
 
-    Rows that repeat an id stay or go together.
+    Rows without an id, and rows that repeat one, are judged each by its own text.
     """
-    found = ngram_join(docs)
-    dropped = found.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    keyed, key = keyed_rows(docs)
+    rows = keyed.select(F.struct("doc_id", key).alias("row"), "text")
+    found = ngram_join(rows, "row")
+    dropped = found.filter("doc_id <> component_id").select(F.col(f"doc_id.{key}").alias(key))
+    return keyed.join(dropped, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +41,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document, repeats as rows of their own."""
-    taken, _ = mix_sources(docs)
-    return mixed_rows(docs, taken)
+    """What the mix takes of each row, repeats as rows of their own."""
+    keyed, key = keyed_rows(docs)
+    taken, _ = mix_sources(keyed, key_col=key)
+    return mixed_rows(keyed, taken, key)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +63,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for number, (name, stage) in enumerate(STAGES):
+        done = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if number:  # the documents themselves stay
+            drop(docs)
+        docs = done
     return docs
 
 
