@@ -48,22 +48,33 @@ def encode_payload(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+def marked_messages(df: DataFrame, size: int, value: str = "value") -> DataFrame:
+    """Messages with ``readable``, whether they are JSON, and the number of their ``batch`` of ``size``.
+
+    Null messages are left out: they hold nothing. Write the result before it is used twice, so
+    that each message is made and checked once.
+    """
+    batch = F.floor(F.monotonically_increasing_id() / size).alias("batch")
+    return df.select(F.col(value).cast("string").alias(value), batch).filter(F.col(value).isNotNull()).select(
+        value, "batch", is_json(F.col(value)).alias("readable")
+    )
+
+
 def encode_batches(df: DataFrame, size: int, value: str = "value") -> DataFrame:
-    """Pack JSON texts into JSON arrays of at most ``size``; see ``unreadable`` for the others.
+    """Pack JSON texts into JSON arrays of at most ``size``; others are left out.
 
     One text that is not JSON would make its whole array unreadable, so each is checked.
     Batches follow the running row id of each partition, so no group can hold
     more than ``size`` rows whatever the data looks like. Row ids repeat only if
     row order does: give it a scan, not the output of a shuffle.
     """
-    batch = F.floor(F.monotonically_increasing_id() / size).alias("batch")
-    return (
-        df.select(value, batch)
-        .filter(is_json(F.col(value)))
-        .groupBy("batch")
-        .agg(json_array(F.collect_list(value)).alias(value))
-        .select(value)
-    )
+    return pack_marked(marked_messages(df, size, value), value)
+
+
+def pack_marked(marked: DataFrame, value: str = "value") -> DataFrame:
+    """The readable ones of ``marked_messages`` as arrays, one for each batch."""
+    packed = marked.filter("readable").groupBy("batch").agg(json_array(F.collect_list(value)).alias(value))
+    return packed.select(value)
 
 
 def is_json(text: Column) -> Column:
@@ -71,11 +82,6 @@ def is_json(text: Column) -> Column:
     return F.try_parse_json(text.cast("string")).isNotNull()
 
 
-def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages that are not JSON, which ``encode_batches`` leaves out. Null messages hold nothing."""
-    return df.filter(F.col(value).isNotNull() & ~is_json(F.col(value)))
-
-
 def json_array(objects: Column) -> Column:
     """Array of JSON texts to the text of one JSON array."""
     return F.concat(F.lit("["), F.array_join(objects, ", "), F.lit("]"))

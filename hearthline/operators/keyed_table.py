@@ -129,10 +129,13 @@ class KeyedTable:
             .write.partitionBy(BUCKET)
             .parquet(folder)
         )
-        for bucket in buckets:
-            which = f"PARTITION (`{BUCKET}` = {bucket})"
-            where = f"LOCATION '{folder}/{BUCKET}={bucket}'"
-            self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {which} {where}")
+        parts = {b: (f"PARTITION (`{BUCKET}` = {b})", f"LOCATION '{folder}/{BUCKET}={b}'") for b in buckets}
+        known = {int(row[0].split("=")[1]) for row in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()}
+        added = [" ".join(parts[b]) for b in buckets if b not in known]
+        if added:  # one statement for all new ones
+            self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {' '.join(added)}")
+        for bucket in known.intersection(buckets):
+            which, where = parts[bucket]
             self.spark.sql(f"ALTER TABLE {self.table} {which} SET {where}")
         self.spark.catalog.refreshTable(self.table)
 

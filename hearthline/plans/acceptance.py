@@ -31,7 +31,7 @@ from hearthline.operators.latest import latest_per_key, merge_latest
 from hearthline.operators.merge_table import MergeTable
 from hearthline.operators.model import fit_model, predict, regression_metrics
 from hearthline.operators.quarantine import bad_records, good_records, load_summary, rejected_records
-from hearthline.operators.readiness import readiness
+from hearthline.operators.readiness import readiness, table_readiness
 from hearthline.operators.reports import (
     group_report,
     overall_statistics,
@@ -42,10 +42,10 @@ from hearthline.operators.reports import (
 from hearthline.operators.stored_totals import StoredTotals
 from hearthline.operators.wide_index import index_wide, wide_index
 from hearthline.operators.windows import CITY_FIELDS, CITY_MEASURES, flatten_window, window_totals
-from hearthline.plans.load import listing_table, load_new, stage_files
+from hearthline.plans.load import curated_sample, listing_table, load_new, stage_archive, stage_files
 from hearthline.schemas import wire_schema
 from hearthline.scratch import materialize, scratch_path
-from hearthline.sources.archive import scan_archive
+from hearthline.sources.archive import NoInputError, scan_archive
 from hearthline.sources.events import event_stream
 from hearthline.sources.files import write_bytes
 from hearthline.sources.ledger import LoadLedger
@@ -55,6 +55,7 @@ from hearthline.streaming.archive import archive_batch, archive_stream, dated_me
 from hearthline.streaming.compaction import compact_day
 from hearthline.streaming.late import read_batches, split_late
 from hearthline.streaming.queries import (
+    await_any,
     city_totals,
     drain,
     for_each_batch,
@@ -425,6 +426,63 @@ def _load_summary_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_summary(stage_files(spark, list_files(spark, path, "*.{gz,json}")), "file")
 
 
+@_register("load_sample", f"SELECT {_WIRE_SQL} FROM events ORDER BY event_id::VARCHAR LIMIT 10")
+def _load_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows by key of a staged load."""
+    path = scratch_path(spark, "sampled")
+    write_array_files(event_messages(_table(spark, sf_dir, "events")), path, 1000)
+    return curated_sample(stage_archive(spark, path))
+
+
+def _verdicts(spark: SparkSession, rows: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """(check, result) for each, beside the rows of the table that the check is about."""
+    named = (df.agg(F.count("*").alias("rows")).select(F.lit(c).alias("check"), F.lit(r).alias("result"), "rows") for df, c, r in rows)
+    return reduce(DataFrame.unionByName, named)
+
+
+@_register(
+    "input_checks",
+    """SELECT unnest(['no folder of the day', 'null messages', 'the fallback']) AS check,
+       unnest(['no input', 'left out', 'read']) AS result,
+       unnest([(SELECT count(*) FROM events), (SELECT count(*) FROM events WHERE event_id % 3 <> 0), (SELECT count(*) FROM events WHERE event_id % 3 <> 0)]) AS rows""",
+)
+def _input_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day without files is told, not an empty load; a message of null is no record."""
+    path, events = scratch_path(spark, "checked"), _table(spark, sf_dir, "events")
+    holed = event_messages(events).withColumn("value", F.when(F.expr("get_json_object(CAST(value AS STRING), '$.zpid') % 3 <> 0"), F.col("value")))
+    archive_batch(holed, path)
+    try:
+        scan_archive(spark, path, date(1999, 1, 1), layout="lines")
+        told = "nothing said"
+    except NoInputError:
+        told = "no input"
+    scanned = scan_archive(spark, path, layout="lines")
+    loose = scan_archive(spark, path, date(1999, 1, 1), layout="lines", fallback_root=path, fallback_names="*.txt")
+    left = "left out" if scanned.filter("zpid IS NULL").isEmpty() else "kept"
+    return _verdicts(spark, [(events, "no folder of the day", told), (scanned, "null messages", left), (loose, "the fallback", "read")])
+
+
+@_register(
+    "table_checks",
+    """SELECT unnest(['no namespace', 'no table', 'no rows', 'rows']) AS check,
+       unnest(['False', 'False', 'False', CASE WHEN n >= 100 THEN 'True' ELSE 'False' END]) AS result,
+       unnest([0, 0, 0, n]) AS rows FROM (SELECT count(DISTINCT o_custkey) AS n FROM orders)""",
+)
+def _table_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's readiness, from before its namespace exists until it is loaded."""
+    orders = _table(spark, sf_dir, "orders")
+    name, none = f"acceptance_{uuid.uuid4().hex}", orders.filter(F.lit(False))
+    verdict = lambda: str(table_readiness(spark, name, "orders")[0])
+    found = [(none, "no namespace", verdict())]
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{scratch_path(spark, name)}'")
+    found.append((none, "no table", verdict()))
+    table = KeyedTable(spark, name, "orders", ["o_custkey"], StructType([StructField(f.name, f.dataType) for f in orders.schema])).ensure()
+    found.append((none, "no rows", verdict()))
+    table.upsert(orders, _ORDER)
+    found.append((table.read(), "rows", verdict()))
+    return _verdicts(spark, found)
+
+
 @_register("load_incremental", f"SELECT {_WIRE_SQL} FROM events")
 def _load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads with files added between, also to the first day; a third finds nothing to read."""
@@ -751,6 +809,20 @@ def _upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@_register("stream_any", f"SELECT * FROM orders QUALIFY {_NEWEST}")
+def _stream_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, one of which would never end: when the other does, both are stopped."""
+    orders = _table_stream(spark, sf_dir, "orders")
+    table = _orders_table(spark, orders.schema)
+    drain(upsert_stream(orders, table, _ORDER, scratch_path(spark, "checkpoint"), ONCE))
+    idle = start_query(orders, scratch_path(spark, "idle"), "noop", "append", {"processingTime": "1 second"})
+    done = upsert_stream(orders, table, _ORDER, scratch_path(spark, "again"), ONCE)
+    await_any([idle, done])
+    if idle.isActive or done.isActive:
+        raise AssertionError("a stream is still running")
+    return table.read()
+
+
 @_register("stream_upsert", f"SELECT * FROM orders QUALIFY {_NEWEST}")
 def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table_stream(spark, sf_dir, "orders")

@@ -108,8 +108,10 @@ def write_rejected(staged: DataFrame, path: str) -> None:
 
 
 def curated_sample(staged: DataFrame, limit: int = 10) -> DataFrame:
-    """A look at the curated columns of a few good records."""
-    return staged.filter("record_ok").select(*curated_schema().names).limit(limit)
+    """A look at the curated columns of a few good records, the first by key and then by the others."""
+    names = curated_schema().names
+    first = [KEY, *(name for name in names if name != KEY)]
+    return staged.filter("record_ok").select(*names).orderBy(*first).limit(limit)
 
 
 def load_store(

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hearthline.functions.event_time import date_parts
-from hearthline.functions.payload import encode_batches, unreadable
+from hearthline.functions.payload import marked_messages, pack_marked
+from hearthline.scratch import drop, materialize
 from hearthline.streaming.queries import for_each_batch
 
 DATE_PARTS = ("year", "month", "day")
@@ -84,9 +85,11 @@ def write_array_files(
     Messages that are not JSON would spoil their file; they go to ``rejected`` as text, and
     without it end the write.
     """
-    bad = unreadable(messages)
+    marked = materialize(marked_messages(messages, size), "marked-messages")
+    bad = marked.filter(~F.col("readable")).select("value")
     if rejected is not None:
-        bad.select(F.col("value").cast("string")).write.mode("append").text(rejected)
+        bad.write.mode("append").text(rejected)
     elif not bad.isEmpty():
         raise ValueError("some messages are not JSON; name a folder for them")
-    encode_batches(messages, size).write.option("maxRecordsPerFile", 1).mode("append").text(path)
+    pack_marked(marked).write.option("maxRecordsPerFile", 1).mode("append").text(path)
+    drop(marked)
