@@ -4,8 +4,9 @@ A source's documents, in a seeded order, are one stream of words cut into blocks
 equal length. Seats (blocks of the mix) go to sources by the highest quotients
 ``target / 1, target / 3, target / 5 ...``; the method is house monotone, so the seats
 of output shard k are those of the first k shards less those of the first k - 1. A
-source with more seats than blocks repeats whole epochs; the rest is a run of blocks
-from a seeded start, so all but two of its documents are taken whole or not at all.
+source's blocks are handed out from a seeded start, round and round: shard after shard
+takes as many as it has seats. In all that is whole epochs and one run of blocks, so all but
+two of a source's documents are taken equally often in all their words.
 """
 
 from __future__ import annotations
@@ -75,6 +76,22 @@ def seeded(seed: int, name: str, below: int) -> int:
     return int(hashlib.md5(f"{seed}:{name}".encode()).hexdigest()[:8], 16) % below
 
 
+def shard_ranges(upto: Sequence[int], start: int, blocks: int, block_words: int, n: int) -> list[tuple[int, int, int]]:
+    """The words of a source's stream, from and up to, that each output shard takes.
+
+    ``upto`` are the blocks of all earlier shards; shard k goes on where shard k - 1 stopped, at the
+    stream's end from its beginning.
+    """
+    out = []
+    for shard, (first, last) in enumerate(zip(upto[:-1], upto[1:], strict=True)):
+        at, end = start + first, start + last
+        while at < end:
+            stop = min(end, (at // blocks + 1) * blocks)
+            out.append((shard, at % blocks * block_words, min(((stop - 1) % blocks + 1) * block_words, n)))
+            at = stop
+    return out
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -90,8 +107,9 @@ def mix_sources(
     """What the mix takes of every row, and the seats of every source in every output shard.
 
     First result: doc_id, source, size (words), source_size, target, taken (words,
-    repeats counted), epochs (whole passes) and runs (first and last word, from 1, of what
-    is taken besides: none, one or two). Second: output_shard, source, blocks.
+    repeats counted), epochs (whole passes), runs (first and last word, from 1, of what
+    is taken besides: none, one or two) and shard_runs (output shard, first and last word, of
+    all that is taken). Second: output_shard, source, blocks.
 
     ``weights`` repeat over the sources in code point order, null last. The driver holds
     one row for each source. Null, empty and blank texts have size 0 and nothing of them
@@ -137,9 +155,10 @@ def mix_sources(
         start = seeded(seed, key, blocks[i]) if blocks[i] else 0
         end = start + rest
         run = (start * block_words, min(end * block_words, n), max(0, end - blocks[i]) * block_words)
-        plan.append((key, n, targets[i], epochs, *run))
+        ranges = shard_ranges([u[i] for u in upto], start, blocks[i], block_words, n)
+        plan.append((key, n, targets[i], epochs, *run, ranges))
         quotas += [(k, source, upto[k + 1][i] - upto[k][i]) for k in range(output_shards)]
-    schema = "mix_key string, source_size long, target double, epochs long, run_from long, run_to long, wrap_to long"
+    schema = "mix_key string, source_size long, target double, epochs long, run_from long, run_to long, wrap_to long, ranges array<struct<shard:int,low:long,high:long>>"
     offsets = parts.withColumn(
         "before", F.sum("part_size").over(Window.partitionBy("mix_key").orderBy("part")) - F.col("part_size")
     ).drop("part_size")
@@ -155,6 +174,15 @@ def mix_sources(
     taken = F.col("epochs") * F.col("size") + run + wrap
     one = F.when(run > 0, F.struct((low - begin + 1).alias("first"), (high - begin).alias("last")))
     two = F.when(wrap > 0, F.struct(F.lit(1).cast("long").alias("first"), wrap.alias("last")))
+    mine = F.filter("ranges", lambda r: (r["high"] > begin) & (r["low"] < end))
+    by_shard = F.transform(
+        mine,
+        lambda r: F.struct(
+            r["shard"].alias("shard"),
+            (F.greatest(r["low"], begin) - begin + 1).alias("first"),
+            (F.least(r["high"], end) - begin).alias("last"),
+        ),
+    )
     mixed = placed.select(
         "doc_id",
         "source",
@@ -164,6 +192,7 @@ def mix_sources(
         taken.cast("long").alias("taken"),
         "epochs",
         F.array_compact(F.array(one, two)).alias("runs"),
+        by_shard.alias("shard_runs"),
         *(["row_key"] if key_col else []),
     )
     return mixed, spark.createDataFrame(quotas, "output_shard int, source string, blocks long")

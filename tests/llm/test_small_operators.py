@@ -129,6 +129,7 @@ def test_mix_takes_near_the_target_and_repeats_itself(spark):
         by_source[r.source].append(r)
         assert r.taken <= 3 * r["size"] and r["size"] == len(WORD.findall(texts[r.doc_id] or ""))
         assert r.taken == r.epochs * r["size"] + sum(x.last - x.first + 1 for x in r.runs)
+        assert r.taken == sum(x.last - x.first + 1 for x in r.shard_runs)
     targets = mixing.source_targets([sum(r["size"] for r in by_source[n]) for n in names], [weights[n] for n in names])
     for name, target in zip(names, targets, strict=True):
         assert by_source[name][0].target == target
@@ -136,6 +137,15 @@ def test_mix_takes_near_the_target_and_repeats_itself(spark):
     assert sum(targets) == pytest.approx(total)
     seats = {r.source: r.n for r in quotas.groupBy("source").agg(F.sum("blocks").alias("n")).collect()}
     assert sum(seats.values()) == (total + 2) // 4
+    # Every shard takes its quota: so many blocks, each of four words but for a source's last.
+    words = collections.Counter()
+    for r in rows:
+        for x in r.shard_runs:
+            words[x.shard, r.source] += x.last - x.first + 1
+    for q in quotas.collect():
+        got = words[q.output_shard, q.source]
+        laps = -(-q.blocks * 4 // max(1, sum(r["size"] for r in by_source[q.source])))
+        assert q.blocks * 4 - 3 * (laps + 1) <= got <= q.blocks * 4
     assert mixing.mix_sources(docs.limit(0))[0].count() == 0
     blank = mixing.mix_sources(docs_of(spark, [None, ""], ["x", None]))[0].collect()
     assert [r.taken for r in blank] == [0, 0]
