@@ -93,16 +93,20 @@ def train(languages: list[str], bits: np.ndarray, landmarks: int = LANDMARKS, ri
 
 
 def sample_rows(docs: DataFrame, learn: Column, max_sample: int, min_sample: int) -> DataFrame:
-    """Labelled rows to learn from, about equally many of every language, chosen by a hash."""
+    """Labelled rows to learn from, about equally many of every language, chosen by a hash.
+
+    Of id and text, and equal rows once: neither an id that repeats nor copies of a row add to the bound.
+    """
     rows = docs.filter(learn & F.col("lang").isNotNull())
     counts = dict(rows.groupBy("lang").count().collect())  # a row for each language
     share = max(min_sample, max_sample // max(1, len(counts)))
-    spread = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
+    spread = F.pmod(F.xxhash64("doc_id", "text", F.lit(8)), F.lit(1 << 30))
     limit = F.lit(0)
     for lang, n in counts.items():
         part = min(1.0, (share + 4 * share**0.5) / n)
         limit = F.when(F.col("lang") == lang, int(part * (1 << 30))).otherwise(limit)
-    return rows.filter(spread < limit).select("doc_id", "lang", "text", spread.alias("spread"))
+    drawn = rows.filter(spread < limit).select("doc_id", "lang", "text", spread.alias("spread"))
+    return drawn.dropDuplicates(["doc_id", "lang", "text"])
 
 
 def learn_languages(docs: DataFrame, learn: Column, max_sample: int, min_sample: int) -> LanguageModel | None:
@@ -129,7 +133,7 @@ def identify_languages(
 
     ``docs`` has doc_id, text and lang; only rows where ``learn`` holds and lang is not null
     are learned from, about ``max_sample`` of them but ``min_sample`` of each language, chosen
-    by a hash of the id. Score is the decision value of the predicted language, from [-1, 1]
+    by a hash of id and text. Score is the decision value of the predicted language, from [-1, 1]
     to [0, 1]. A null text, one without a letter, and every text if there is nothing to learn
     from is ``und`` with score 0. Of equal scores the first language by name wins. Repeated
     rows each get their row; an empty table gives none. Other columns are not read.

@@ -1,5 +1,6 @@
 """Edge cases and held-out accuracy of the classifiers, on the given tables and on made-up ones."""
 
+import collections
 import random
 import zlib
 from pathlib import Path
@@ -61,6 +62,18 @@ def test_language_edges(spark):
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
 
 
+def test_language_sample_is_bounded_whatever_repeats(spark):
+    draw = random.Random(3)
+    rows = [(None if i % 3 else 7, prose(draw, "en"), "en", "s", 0) for i in range(600)] + [(8, "the same text", "en", "s", 0)] * 900
+    rows += [(i, prose(draw, "de"), "de", "s", 0) for i in range(100)]
+    docs = spark.createDataFrame(rows, DOCS)
+    drawn = language.sample_rows(docs, F.lit(True), 100, 20).collect()
+    by_lang = collections.Counter(r.lang for r in drawn)
+    # About 50 and four spreads of chance each; of equal rows one.
+    assert 15 <= by_lang["en"] <= 110 and 30 <= by_lang["de"] <= 100
+    assert sum(r.doc_id == 8 for r in drawn) <= 1
+
+
 def test_language_scores_are_those_of_the_kernel():
     """The product that was multiplied out gives what landmarks, whitening and ridge give step by step."""
     draw = random.Random(2)
