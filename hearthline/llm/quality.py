@@ -332,8 +332,8 @@ def other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """Of every text the vectors of its words that are not common, summed: key, words, s0 and up.
 
     Equal texts have one row; words and sums count each of them. A word's occurrences meet in the
-    part of its hash, some PART_BYTES of text for each part, and what goes back to a text is one sum of
-    vectors from each part.
+    part of its hash, some PART_BYTES of text for each part. What goes back to a text is one sum of
+    vectors from each part, many texts' sums in a row; texts are dealt to as many buckets as there are parts.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
@@ -358,17 +358,41 @@ def other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
         rank = np.arange(len(word)) - np.repeat(ends - sizes, sizes)
         first = np.flatnonzero(rank % FULL == 0)
         summed = np.add.reduceat(vectors[which], first, axis=0, dtype=np.int16)
-        packed = np.ascontiguousarray(summed).view(np.int64)
-        columns = {"key": key[owner[first]], "n": np.diff(first, append=len(word)).astype(np.int64)}
-        return pa.table(columns | {c: packed[:, i].copy() for i, c in enumerate("abcd")})
+        key, n = key[owner[first]], np.diff(first, append=len(word)).astype(np.int16)
+        bucket = (key.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        begin = starts_of_runs(bucket[order])
+        groups = np.split(order, begin[1:])
+        return pa.table(
+            {
+                "bucket": bucket[order[begin]],
+                "keys": pa.array([key[g].tobytes() for g in groups], pa.binary()),
+                "n": pa.array([n[g].tobytes() for g in groups], pa.binary()),
+                "sums": pa.array([np.ascontiguousarray(summed[g].view(np.uint8).T).tobytes() for g in groups], pa.binary()),
+            }
+        )
+
+    def add_up(table: pa.Table) -> pa.Table:
+        key, n = (
+            np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+            for name, kind in (("keys", np.int64), ("n", np.int16))
+        )
+        sums = np.concatenate(
+            [
+                np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(2 * WORD_SIZE, -1).T).view(np.int16)
+                for x in table.column("sums").to_pylist()
+            ]
+        )
+        order = np.argsort(key, kind="stable")
+        begin = starts_of_runs(key[order])
+        total = np.add.reduceat(sums[order], begin, axis=0, dtype=np.int64)
+        columns = {"key": key[order[begin]], "words": np.add.reduceat(n[order], begin, dtype=np.int64)}
+        return pa.table(columns | {f"s{d}": total[:, d].copy() for d in range(WORD_SIZE)})
 
     found = rare_occurrences(docs, common, parts)
-    met = found.groupBy("part").applyInArrow(meet, "key long, n long, a long, b long, c long, d long")
-    # Dealt by key before it is summed: partial sums are longer than what they sum.
-    places = [F.shiftright(F.shiftleft(c, 48 - 16 * d), 48) for c in "abcd" for d in range(4)]
-    return met.repartition("key").groupBy("key").agg(
-        F.sum("n").alias("words"), *(F.sum(p).alias(f"s{d}") for d, p in enumerate(places))
-    )
+    met = found.groupBy("part").applyInArrow(meet, "bucket long, keys binary, n binary, sums binary")
+    names = ", ".join(f"s{d} long" for d in range(WORD_SIZE))
+    return met.groupBy("bucket").applyInArrow(add_up, f"key long, words long, {names}")
 
 
 def features(docs: DataFrame, share: int = COMMON) -> DataFrame:
