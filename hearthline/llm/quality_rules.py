@@ -1,7 +1,7 @@
 """Quality rules: text statistics, and a hashed n-gram log-likelihood ratio.
 
 Words and word pairs, lower-cased, are hashed into a fixed number of buckets. Two
-multinomials are estimated with add-one smoothing: the trusted target from documents
+multinomials are estimated with add-one smoothing: the trusted target from all documents
 labelled good, the raw corpus from all documents. A document's score is the mean over
 its n-grams of log(target / raw), so length does not matter; it is kept if the score
 reaches a fixed threshold. Nothing is drawn at random.
@@ -17,14 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.arrow import map_batches
+from hearthline.llm.ngram_join import BLOOM_FILTER, settings
 from hearthline.llm.tokens import IS_SPACE, LOWER, Piece, Spans, lines, mix, pieces, span_hashes, words
 
 BUCKETS = 1 << 14
 THRESHOLD = -0.05
-MAX_TRUSTED = 20_000
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"  # fixed values
+ID_FILTER = BLOOM_FILTER | {  # the largest that Spark makes, of 8 MB
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+}
 _PAIR = np.uint64(0xD1342543DE82EF95)
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[[ord(c) for c in SYMBOLS]] = True
@@ -93,11 +97,11 @@ def corpus_counts(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: st
             out[bucket] = n
         return out
 
-    # At most MAX_TRUSTED ids are broadcast.
-    target = docs.select(F.col(id_col).alias("trusted_id"), text_col).join(
-        F.broadcast(trusted), "trusted_id", "left_semi"
-    )
-    return of(target), of(docs)
+    # Spark broadcasts the ids if they are few. Else it drops most other texts by a Bloom filter
+    # of the ids before it shuffles, but builds none from an aggregate, so the ids are not made distinct.
+    target = docs.select(F.col(id_col).alias("trusted_id"), text_col).join(trusted, "trusted_id", "left_semi")
+    with settings(docs.sparkSession, ID_FILTER):
+        return of(target), of(docs)
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -111,7 +115,6 @@ def quality_rules(
     docs: DataFrame,
     labels: DataFrame,
     threshold: float = THRESHOLD,
-    max_trusted: int = MAX_TRUSTED,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -120,19 +123,14 @@ def quality_rules(
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     score (mean log ratio; 0 for a text without words) and kept.
 
-    ``labels`` has doc_id and quality. The target is counted over the ``max_trusted`` good
-    rows that come first by a hash of their id; the raw corpus over all rows. Without good
+    ``labels`` has doc_id and quality. The target is counted over all rows with a label that
+    says good, once each however often it does; the raw corpus over all rows. Without good
     rows both are the same up to smoothing, and only the base rules decide. Null, empty and
     blank texts have zeros and fail the base rules; repeated rows each get their row; an
     empty table gives none. Other columns of ``docs`` are not read.
     """
-    trusted = (
-        labels.filter("quality = 1 AND doc_id IS NOT NULL")
-        .select(F.col("doc_id").alias("trusted_id"))
-        .distinct()
-        .orderBy(F.xxhash64("trusted_id"), "trusted_id")
-        .limit(max_trusted)
-    )
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL")
+    trusted = good.select(F.col("doc_id").alias("trusted_id"))
     target, raw = corpus_counts(docs, trusted, id_col, text_col)
     ratios = log_ratios(target, raw) if target.sum() else np.zeros(BUCKETS)
 

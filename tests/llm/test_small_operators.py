@@ -93,6 +93,37 @@ def test_quality_rules_columns_and_score(spark):
     assert quality_rules.quality_rules(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("most_broadcast", ["1g", "-1"])
+def test_quality_rules_count_every_row_labelled_good(spark, tmp_path, most_broadcast):
+    # 24,000 good ids, among them ids labelled twice or good and bad; rows without an id, rows that repeat.
+    n = 30_000
+    rows = [(i, f"w{i % 61} v{i * i % 37} u{i}", i % 5 > 0) for i in range(n)]
+    rows += [(None, "no id", False)] * 2 + [(7, "again w7", True), (5, "again bad", False)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    labels = spark.range(n).selectExpr("id AS doc_id", "int(id % 5 > 0) AS quality")
+    more = spark.createDataFrame([(7, 1), (7, 1), (8, 0), (8, None), (None, 1), (n + 9, 1)], "doc_id long, quality int")
+    labels.union(more).write.parquet(f"{tmp_path}/labels")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("docs", "labels"))
+    grams = []
+    for piece in pieces(pa.array([text for _, text, _ in rows])):
+        buckets, owner = quality_rules.ngram_buckets(piece, words(piece))
+        grams += np.split(buckets[np.argsort(owner, kind="stable")], np.cumsum(np.bincount(owner))[:-1])
+    target = np.concatenate([g for g, (*_, good) in zip(grams, rows, strict=True) if good])
+    raw, target = (np.bincount(g, minlength=quality_rules.BUCKETS) for g in (np.concatenate(grams), target))
+    ratio = np.log((target + 1) / (target.sum() + len(target)) / ((raw + 1) / (raw.sum() + len(raw))))
+    expected = sorted((-1 if i is None else i, ratio[g].mean()) for (i, *_), g in zip(rows, grams, strict=True))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most_broadcast)
+    try:
+        got = quality_rules.quality_rules(docs, labels).select("doc_id", "score").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got)
+    assert [i for i, _ in got] == [i for i, _ in expected]
+    assert np.allclose([x for _, x in got], [x for _, x in expected], rtol=0, atol=1e-9)
+
+
 def test_sainte_lague_gives_the_highest_quotients():
     draw = random.Random(3)
     for _ in range(60):
