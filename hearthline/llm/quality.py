@@ -32,6 +32,7 @@ WORD_SIZE, UNIT = 16, 127  # numbers of a word's own vector, each of one byte
 COMMON, WINDOW, LEAST = 1 << 21, 1 << 21, 4  # common: once in so many words; counted by windows
 FULL = 256  # vectors whose sum two bytes can hold
 OCCURRENCES = 1 << 20  # that a task gathers before it sends them
+MEET = 1 << 17  # occurrences of a part whose words get their vectors at a time
 PART_BYTES = 64 << 20  # of text for each part of the rare words
 TEXT_KEY = "_text_key"
 HIDDEN, STEPS, RATE, DECAY = 16, 800, 0.02, 1e-4
@@ -276,14 +277,71 @@ def _planes(numbers: np.ndarray) -> bytes:
     return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _unplaned(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+def _unplaned(planes: np.ndarray, kind: type) -> np.ndarray:
+    """What ``_planes`` took apart, one row of bytes for each byte of a number."""
+    return np.ascontiguousarray(planes.T).view(kind)
 
 
 def starts_of_runs(numbers: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
 
 
+def numbers_of(batches: list[pa.RecordBatch], name: str, kind: type) -> list[np.ndarray]:
+    """The numbers in each row's bytes, read in place."""
+    return [np.frombuffer(x.as_buffer(), kind) for batch in batches for x in batch.column(name)]
+
+
+def occurrence_vectors(words: list[np.ndarray], contexts: list[np.ndarray]) -> np.ndarray:
+    """The vector of each occurrence's word, from all its contexts here.
+
+    Words go through in slices of their hashes, so what a word costs on the way is held for
+    some MEET occurrences, not for all.
+    """
+    starts = np.cumsum([0, *map(len, words)])
+    out = np.empty((starts[-1], WORD_SIZE), np.int8)
+    slices, half = np.uint64(max(1, -(-int(starts[-1]) // MEET))), np.uint64(32)
+    for s in range(int(slices)):
+        on = [np.flatnonzero((w.view(np.uint64) >> half) * slices >> half == s) for w in words]
+        word = np.concatenate([w[i] for w, i in zip(words, on, strict=True)])
+        if not len(word):
+            continue
+        around = np.concatenate(
+            [_unplaned(x.reshape(8, -1)[:, i], np.int64).ravel() for x, i in zip(contexts, on, strict=True)]
+        )
+        to = np.concatenate([i + start for i, start in zip(on, starts, strict=False)])
+        order = np.argsort(word, kind="stable")
+        begin = starts_of_runs(word[order])
+        sums = np.add.reduceat(unpacked_contexts(around[order]), begin, axis=0, dtype=np.int64)
+        vectors = unit(sums, word[order[begin]])
+        out[to[order]] = np.repeat(vectors, np.diff(begin, append=len(word)), axis=0)
+    return out
+
+
+def text_sums(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For one part of ``rare_occurrences``: keys of texts, how many words each has there, and the sum of their vectors.
+
+    No word here is common, so a part is no larger than its share of the text. A text of more
+    than FULL words comes several times: sums of so few vectors fit two bytes.
+    """
+    keys, sizes, words, contexts = (
+        numbers_of(batches, *c)
+        for c in (("keys", np.int64), ("sizes", np.int32), ("words", np.int64), ("contexts", np.uint8))
+    )
+    vectors = occurrence_vectors(words, contexts)
+    size = sum(int((-(-n // FULL)).sum()) for n in sizes)
+    key, n, summed = np.empty(size, np.int64), np.empty(size, np.int16), np.empty((size, WORD_SIZE), np.int16)
+    done = begin = 0
+    for row_keys, row_sizes in zip(keys, sizes, strict=True):
+        ends = np.cumsum(row_sizes, dtype=np.int64)
+        owner = np.repeat(np.arange(len(ends)), row_sizes)
+        first = np.flatnonzero((np.arange(len(owner)) - (ends - row_sizes)[owner]) % FULL == 0)
+        to = slice(done, done + len(first))
+        key[to], n[to] = row_keys[owner[first]], np.diff(first, append=len(owner))
+        summed[to] = np.add.reduceat(vectors[begin : begin + len(owner)], first, axis=0, dtype=np.int16)
+        done, begin = to.stop, begin + len(owner)
+    return key, n, summed
+
+
 def rare_occurrences(docs: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
     """Words that are not common, with the context of each occurrence, dealt to parts by their hash.
 
@@ -338,56 +396,35 @@ def other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // PART_BYTES))
 
-    def meet(table: pa.Table) -> pa.Table:
-        """No word here is common, so a part is no larger than its share of the text."""
-        key, sizes, word, around = (
-            [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-            for name, kind in (("keys", np.int64), ("sizes", np.int32), ("words", np.int64), ("contexts", np.uint8))
-        )
-        key, sizes, word = np.concatenate(key), np.concatenate(sizes).astype(np.int64), np.concatenate(word)
-        around = np.concatenate([_unplaned(x) for x in around])
-        order = np.argsort(word, kind="stable")
-        begin = starts_of_runs(word[order])
-        sums = np.add.reduceat(unpacked_contexts(around[order]), begin, axis=0, dtype=np.int64)
-        which = np.empty(len(word), np.int64)
-        which[order] = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(word)))
-        vectors = unit(sums, word[order[begin]])
-        # Sums of so few vectors fit two bytes.
-        ends = np.cumsum(sizes)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        rank = np.arange(len(word)) - np.repeat(ends - sizes, sizes)
-        first = np.flatnonzero(rank % FULL == 0)
-        summed = np.add.reduceat(vectors[which], first, axis=0, dtype=np.int16)
-        key, n = key[owner[first]], np.diff(first, append=len(word)).astype(np.int16)
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, summed = text_sums(list(batches))
         bucket = (key.view(np.uint64) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         begin = starts_of_runs(bucket[order])
-        groups = np.split(order, begin[1:])
-        return pa.table(
-            {
-                "bucket": bucket[order[begin]],
-                "keys": pa.array([key[g].tobytes() for g in groups], pa.binary()),
-                "n": pa.array([n[g].tobytes() for g in groups], pa.binary()),
-                "sums": pa.array([np.ascontiguousarray(summed[g].view(np.uint8).T).tobytes() for g in groups], pa.binary()),
-            }
-        )
+        for b, group in zip(bucket[order[begin]], np.split(order, begin[1:]), strict=True):
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": [int(b)],
+                    "keys": [key[group].tobytes()],
+                    "n": [n[group].tobytes()],
+                    "sums": [np.ascontiguousarray(summed[group].view(np.uint8).T).tobytes()],
+                }
+            )
 
-    def add_up(table: pa.Table) -> pa.Table:
-        key, n = (
-            np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
-            for name, kind in (("keys", np.int64), ("n", np.int16))
-        )
-        sums = np.concatenate(
-            [
-                np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(2 * WORD_SIZE, -1).T).view(np.int16)
-                for x in table.column("sums").to_pylist()
-            ]
-        )
-        order = np.argsort(key, kind="stable")
-        begin = starts_of_runs(key[order])
-        total = np.add.reduceat(sums[order], begin, axis=0, dtype=np.int64)
-        columns = {"key": key[order[begin]], "words": np.add.reduceat(n[order], begin, dtype=np.int64)}
-        return pa.table(columns | {f"s{d}": total[:, d].copy() for d in range(WORD_SIZE)})
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        keys, counts, planes = (numbers_of(held, *c) for c in (("keys", np.int64), ("n", np.int16), ("sums", np.uint8)))
+        key = np.unique(np.concatenate(keys))
+        words, total = np.zeros(len(key), np.int64), np.zeros((len(key), WORD_SIZE), np.int64)
+        for row_keys, n, sums in zip(keys, counts, planes, strict=True):
+            at = np.searchsorted(key, row_keys)
+            order = np.argsort(at, kind="stable")
+            begin = starts_of_runs(at[order])
+            to, sums = at[order[begin]], _unplaned(sums.reshape(2 * WORD_SIZE, -1), np.int16)
+            words[to] += np.add.reduceat(n[order], begin, dtype=np.int64)
+            total[to] += np.add.reduceat(sums[order], begin, axis=0, dtype=np.int64)
+        columns = {"key": key, "words": words}
+        yield pa.RecordBatch.from_pydict(columns | {f"s{d}": total[:, d].copy() for d in range(WORD_SIZE)})
 
     found = rare_occurrences(docs, common, parts)
     met = found.groupBy("part").applyInArrow(meet, "bucket long, keys binary, n binary, sums binary")

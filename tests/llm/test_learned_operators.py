@@ -2,6 +2,7 @@
 
 import collections
 import random
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -271,3 +272,66 @@ def test_quality_gives_every_word_its_own_vector(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], LABELS)
     scored = {r.doc_id: r.predicted for r in quality.score_quality(docs, labels, F.lit(True)).collect()}
     assert [scored[i] for i in range(40, 60)] == [i % 2 for i in range(40, 60)]
+
+
+def met_rows(draw, n, vocabulary, rows=4):
+    """Some tasks' rows of one part: texts, their words, and the context of each occurrence."""
+    made = []
+    for _ in range(rows):
+        sizes = [600]  # more than a sum of two bytes can hold
+        while sum(sizes) < n // rows:
+            sizes.append(int(draw.integers(1, 60)))
+        words = vocabulary[draw.integers(0, len(vocabulary), sum(sizes))]
+        around = draw.integers(-4, 5, (len(words), quality.WORD_SIZE))
+        made.append((draw.integers(0, 50, len(sizes)) - 25, np.array(sizes, np.int32), words, quality.packed_contexts(around), around))
+    batches = [
+        pa.RecordBatch.from_pydict(
+            {"part": [0], "keys": [k.tobytes()], "sizes": [s.tobytes()], "words": [w.tobytes()], "contexts": [quality._planes(c)]}
+        )
+        for k, s, w, c, _ in made
+    ]
+    return made, batches
+
+
+@pytest.mark.parametrize("meet", [1, 100, 1 << 17])
+def test_quality_sums_of_a_part(monkeypatch, meet):
+    monkeypatch.setattr(quality, "MEET", meet)
+    draw = np.random.default_rng(7)
+    made, batches = met_rows(draw, 4000, draw.integers(-(2**63), 2**63, 300))
+    sums, wanted = {}, collections.defaultdict(lambda: [0, np.zeros(quality.WORD_SIZE, int)])
+    for _, _, words, _, around in made:
+        for w, c in zip(words.tolist(), around, strict=True):
+            sums[w] = sums.get(w, 0) + c
+    for keys, sizes, words, _, _ in made:
+        for key, w in zip(np.repeat(keys, sizes).tolist(), words.tolist(), strict=True):
+            wanted[key][0] += 1
+            wanted[key][1] += quality.unit(sums[w][None], np.array([w]))[0]
+    found = collections.defaultdict(lambda: [0, np.zeros(quality.WORD_SIZE, int)])
+    for key, n, v in zip(*quality.text_sums(batches), strict=True):
+        assert 0 < n <= quality.FULL
+        found[int(key)][0] += int(n)
+        found[int(key)][1] += v
+    assert found.keys() == wanted.keys()
+    assert all(found[k][0] == n and (found[k][1] == v).all() for k, (n, v) in wanted.items())
+
+
+def test_quality_part_takes_little_memory_beside_its_rows():
+    """Some hundred bytes for each occurrence, not those that a word needs on the way to its vector."""
+    draw, n = np.random.default_rng(8), 1_000_000
+    _, batches = met_rows(draw, n, draw.integers(-(2**63), 2**63, n // 2))
+    tracemalloc.start()
+    quality.text_sums(batches)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 120 * n
+
+
+def test_quality_does_not_depend_on_the_number_of_parts(spark, monkeypatch):
+    draw = random.Random(9)
+    texts = [prose(draw, draw.choice(["en", "de", "fr"]), draw.choice([1, 40, 400])) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate([*texts, *texts[:5], "", None])], DOCS)
+    seen = []
+    for size in (quality.PART_BYTES, 3000):  # one part, many
+        monkeypatch.setattr(quality, "PART_BYTES", size)
+        seen.append({r.doc_id: bytes(r.x) for r in quality.features(docs.repartition(3), 1).collect()})
+    assert seen[0] == seen[1]
